@@ -6,6 +6,8 @@ reads the data; none leaves the JVM.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -141,17 +143,16 @@ def terminal_average_amount_range(
 ) -> Column:
     """Range code of the average amount; null for a group without any amount.
 
-    The unrounded comparison is multiplied out, so it is exact as well.
+    The comparison is multiplied out, so nothing is divided or rounded: an
+    average rounds to at most the bound exactly if it is less than half a cent
+    above it. Dividing once per bound would also make the generated method too
+    long for the JVM to compile.
     """
-    if profile.rounds_average_before_range:
-        average = average_amount(amount, number)
-
-        def within(bound: int) -> Column:
-            return average <= bound
-    else:
 
-        def within(bound: int) -> Column:
-            return amount <= number * F.lit(bound).cast("decimal(10,0)")
+    def within(bound: int) -> Column:
+        if profile.rounds_average_before_range:
+            return amount < number * F.lit(bound + Decimal("0.005"))
+        return amount <= number * F.lit(Decimal(bound))
 
     case = F.when(amount.isNull(), F.lit(None).cast("string"))
     for bound, code in lookups.AMOUNT_RANGES:

@@ -8,13 +8,74 @@ occurs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tallymonth.schemas import AMOUNT
+# The columns used; with them given, opening a table runs no job.
+TABLES = {
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+        "l_quantity DOUBLE, l_extendedprice DOUBLE, l_returnflag STRING"
+    ),
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "part": "p_partkey BIGINT, p_size INT, p_retailprice DOUBLE",
+    "nation": "n_nationkey INT",
+}
+
+IS_CARD = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
+
+TRANSACTION_COLUMNS = [
+    "CAST(o_orderdate AS DATE) AS date",
+    """CAST(CASE
+        WHEN l_linenumber = 7 AND l_suppkey % 10 = 3 THEN NULL
+        WHEN l_suppkey % 7 = 0 THEN l_quantity * 10
+        WHEN l_suppkey % 7 = 1 THEN p_retailprice
+        WHEN l_suppkey % 7 = 2 THEN p_retailprice + 500
+        WHEN l_suppkey % 7 = 3 THEN p_retailprice + 2000
+        WHEN l_suppkey % 7 = 4 THEN p_retailprice + 6000
+        WHEN l_suppkey % 7 = 5 THEN p_retailprice + 15000
+        ELSE l_extendedprice END AS DECIMAL(18,2)) AS amount""",
+    f"""CASE
+        WHEN {IS_CARD} THEN 'payment01'
+        WHEN o_orderpriority = '3-MEDIUM' THEN 'payment02'
+        WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'payment03'
+        WHEN l_linenumber <= 5 THEN 'payment04'
+        WHEN l_linenumber = 6 THEN 'payment99' END AS payment_method""",
+    f"""CASE WHEN {IS_CARD} THEN CASE
+        WHEN l_returnflag = 'A' THEN 'type01'
+        WHEN l_returnflag = 'R' THEN 'type02'
+        WHEN l_linenumber <= 4 THEN 'type01' END END AS card_type""",
+    f"""CASE WHEN {IS_CARD} THEN CASE p_size % 6
+        WHEN 0 THEN 'brand01'
+        WHEN 1 THEN 'brand02'
+        WHEN 2 THEN 'brand03'
+        WHEN 3 THEN 'brand04'
+        WHEN 4 THEN 'other' END END AS card_brand""",
+    """CASE WHEN c_nationkey % 5 IN (0, 1) THEN 'A029'
+        WHEN c_nationkey % 5 <> 4 THEN 'A100' END AS card_country_issuer_code""",
+    f"""CASE WHEN NOT {IS_CARD} THEN CASE
+        WHEN l_linenumber = 1 THEN 'b03'
+        WHEN l_linenumber = 2 THEN 'b04'
+        WHEN l_linenumber = 3 THEN 'b05'
+        WHEN l_linenumber = 4 THEN 'b06'
+        WHEN l_linenumber = 5 THEN 'b12'
+        WHEN l_linenumber = 6 THEN 'b14'
+        WHEN l_linenumber = 7 AND l_returnflag = 'A' THEN 'b15'
+        WHEN l_returnflag = 'R' THEN 'b99' END END AS backend_name""",
+    """CASE WHEN l_suppkey % 8 <> 7 THEN CAST(l_suppkey % 31 AS INT) END
+        AS merchant_category_id""",
+]
+
+CATEGORY_COLUMNS = [
+    "n_nationkey AS id",
+    """CASE WHEN n_nationkey % 9 <> 8
+        THEN lpad(CAST(n_nationkey * 211 + 742 AS STRING), 4, '0') END AS code""",
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,86 +85,15 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     join moves orders only. No side is bounded at scale, so none is hinted: the
     planner broadcasts by size, and skewed keys are left to adaptive execution.
     """
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
-    )
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
-    items = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_extendedprice",
-        "l_returnflag",
-    )
-    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    rows = items.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
-        placed, F.col("l_orderkey") == F.col("o_orderkey")
-    )
-
-    line, flag = F.col("l_linenumber"), F.col("l_returnflag")
-    supplier, priority = F.col("l_suppkey"), F.col("o_orderpriority")
-    is_card = priority.isin("1-URGENT", "2-HIGH")
-    size, nation = F.col("p_size") % 6, F.col("c_nationkey") % 5
-    price, kind = F.col("p_retailprice"), supplier % 7
-
-    amount = (
-        F.when((line == 7) & (supplier % 10 == 3), F.lit(None).cast("double"))
-        .when(kind == 0, F.col("l_quantity") * 10)
-        .when(kind == 1, price)
-        .when(kind == 2, price + 500)
-        .when(kind == 3, price + 2000)
-        .when(kind == 4, price + 6000)
-        .when(kind == 5, price + 15000)
-        .otherwise(F.col("l_extendedprice"))
-    )
-    payment_method = (
-        F.when(is_card, "payment01")
-        .when(priority == "3-MEDIUM", "payment02")
-        .when(priority == "4-NOT SPECIFIED", "payment03")
-        .when(line <= 5, "payment04")
-        .when(line == 6, "payment99")
-    )
-    card_type = F.when(
-        is_card, F.when(flag == "A", "type01").when(flag == "R", "type02").when(line <= 4, "type01")
-    )
-    card_brand = F.when(
-        is_card,
-        F.when(size == 0, "brand01")
-        .when(size == 1, "brand02")
-        .when(size == 2, "brand03")
-        .when(size == 3, "brand04")
-        .when(size == 4, "other"),
-    )
-    issuer = F.when(nation.isin(0, 1), "A029").when(nation != 4, "A100")
-    backend = F.when(
-        ~is_card,
-        F.when(line == 1, "b03")
-        .when(line == 2, "b04")
-        .when(line == 3, "b05")
-        .when(line == 4, "b06")
-        .when(line == 5, "b12")
-        .when(line == 6, "b14")
-        .when((line == 7) & (flag == "A"), "b15")
-        .when(flag == "R", "b99"),
-    )
-    category = F.when(supplier % 8 != 7, (supplier % 31).cast("int"))
-    return rows.select(
-        F.col("o_orderdate").cast("date").alias("date"),
-        amount.cast(AMOUNT).alias("amount"),
-        payment_method.alias("payment_method"),
-        card_type.alias("card_type"),
-        card_brand.alias("card_brand"),
-        issuer.alias("card_country_issuer_code"),
-        backend.alias("backend_name"),
-        category.alias("merchant_category_id"),
+    orders, customers, parts, items = (
+        table(spark, sf_dir, name) for name in ("orders", "customer", "part", "lineitem")
     )
+    placed = orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
+    sold = items.join(parts, items["l_partkey"] == parts["p_partkey"])
+    rows = sold.join(placed, items["l_orderkey"] == orders["o_orderkey"])
+    return rows.selectExpr(*TRANSACTION_COLUMNS)
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merchant categories, read from nation; codes keep their leading zero."""
-    key = F.col("n_nationkey")
-    code = F.when(key % 9 != 8, F.lpad((key * 211 + 742).cast("string"), 4, "0"))
-    return table(spark, sf_dir, "nation").select(key.alias("id"), code.alias("code"))
+    return table(spark, sf_dir, "nation").selectExpr(*CATEGORY_COLUMNS)
