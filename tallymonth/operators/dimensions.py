@@ -17,8 +17,8 @@ BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 # Upper estimate of what one broadcast row takes besides its text.
 ROW_OVERHEAD_BYTES = 64
 
-# Pieces a category is cut into when it is joined by shuffle.
-SALTS = 64
+# Pieces the rows of a hot category are cut into when joined by shuffle.
+PIECES = 64
 
 
 def fits_broadcast(categories: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
@@ -39,26 +39,45 @@ def with_category_code_broadcast(rows: DataFrame, categories: DataFrame) -> Data
     return join_category_code(rows, F.broadcast(categories.select("id", "code")))
 
 
+def hot_category_ids(rows: DataFrame, pieces: int = PIECES) -> DataFrame:
+    """Ids that hold more than one ``pieces``-th of all rows.
+
+    There are fewer than ``pieces`` of them, whatever the data.
+    """
+    fair_share = rows.agg(F.count("*") / pieces).scalar()
+    counted = rows.groupBy("merchant_category_id").agg(F.count("*").alias("rows"))
+    return counted.filter(
+        F.col("merchant_category_id").isNotNull() & (F.col("rows") > fair_share)
+    ).select(F.col("merchant_category_id").alias("hot_id"))
+
+
 def with_category_code_shuffled(
-    rows: DataFrame, categories: DataFrame, salts: int = SALTS
+    rows: DataFrame, categories: DataFrame, pieces: int = PIECES
 ) -> DataFrame:
     """Left join by shuffle for categories too large to broadcast.
 
     A single category, or the rows without one, may hold a large share of all
-    rows. Each row therefore carries a salt and each category is repeated once
-    per salt, so every (category, salt) pair meets exactly once and a hot
-    category is spread over as many tasks as there are salts. The salt is a hash
-    of the row, so a recomputed task sends its rows where the lost one did.
+    rows. Those rows are cut into pieces, and a hot category is repeated once per
+    piece, so each pair still meets exactly once while its rows spread over many
+    tasks. All other categories are sent once. The hot ids cost a pass over the
+    id column; their number is bounded, so they are broadcast. The piece is a
+    hash of the row: a recomputed task sends its rows where the lost one did.
     """
-    salted = rows.withColumn(
-        "salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
+    hot = F.broadcast(hot_category_ids(rows, pieces))
+    piece = F.pmod(F.xxhash64(*rows.columns), F.lit(pieces)).cast("int")
+    cut = F.col("hot_id").isNotNull() | F.col("merchant_category_id").isNull()
+    spread = rows.join(hot, rows["merchant_category_id"] == hot["hot_id"], "left").select(
+        *rows.columns, F.when(cut, piece).otherwise(F.lit(0)).alias("row_piece")
+    )
+    every_piece = F.sequence(F.lit(0), F.lit(pieces - 1))
+    pieces_needed = F.when(F.col("hot_id").isNotNull(), every_piece).otherwise(F.array(F.lit(0)))
+    repeated = categories.join(hot, categories["id"] == hot["hot_id"], "left").select(
+        "id", "code", F.explode(pieces_needed).alias("category_piece")
     )
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    dimension = categories.select("id", "code", every_salt.alias("salt_of_category"))
-    same_pair = (salted["merchant_category_id"] == dimension["id"]) & (
-        salted["salt"] == dimension["salt_of_category"]
+    same = (F.col("merchant_category_id") == F.col("id")) & (
+        F.col("row_piece") == F.col("category_piece")
     )
-    return salted.join(dimension, same_pair, "left").drop("id", "salt", "salt_of_category")
+    return spread.join(repeated, same, "left").select(*rows.columns, "code")
 
 
 def with_category_code(

@@ -36,14 +36,17 @@ def write_month_partitions(
     """One directory per report date, each with a single part file.
 
     Rows are shuffled by file name, so one task writes each date's file; this
-    moves group totals, not transactions. A report limited to a date later reads
-    its directory only. Replaces what ``path`` holds.
+    moves group totals, not transactions. The number of tasks is given, or
+    adaptive execution would merge small months into one task that writes them
+    in turn. A report limited to a date later reads its directory only. Replaces
+    what ``path`` holds.
     """
+    tasks = int(report.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stem = rules.report_file_stem(F.to_date("date"))
     printed = rules.amount_text(profile, F.col("amount"))
     (
         report.withColumns({"amount": printed, FILE_COLUMN: stem})
-        .repartition(FILE_COLUMN)
+        .repartition(tasks, FILE_COLUMN)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", 0)

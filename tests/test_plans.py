@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import re
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from tallymonth import AS_IMPLEMENTED, AS_SPECIFIED, monthly_report, report_for_month, report_months
 from tallymonth.operators import dimensions
+from tallymonth.queries import fixture
 from tests.helpers import categories_of, plan_of, settings, transactions_of
 from tests.model import Category, Transaction
 
@@ -114,6 +116,7 @@ def test_hot_and_missing_categories_are_spread(spark) -> None:
     with settings(
         spark, autoBroadcastJoinThreshold="-1", adaptive_enabled="false", shuffle_partitions="16"
     ):
+        assert dimensions.hot_category_ids(rows).collect() == [(1,)]
         joined = dimensions.with_category_code_shuffled(rows, categories)
         per_task = joined.groupBy(F.spark_partition_id()).count().collect()
         plain = dimensions.join_category_code(rows, categories)
@@ -124,6 +127,70 @@ def test_hot_and_missing_categories_are_spread(spark) -> None:
     assert max(row["count"] for row in per_task) < 3 * third / 16 * 2
 
 
+@pytest.mark.parametrize("pieces", [1, 3, 64])
+def test_spread_lookup_equals_the_plain_join(spark, pieces) -> None:
+    """With hot, rare, missing, unmatched and repeated ids."""
+    ids = [1] * 40 + [2] * 20 + [3, 4, 5, 99] + [None] * 30
+    rows = transactions_of(
+        spark,
+        [Transaction(amount=Decimal(n), merchant_category_id=key) for n, key in enumerate(ids)],
+    )
+    categories = categories_of(
+        spark,
+        [
+            Category(1, "0001"),
+            Category(1, "1111"),
+            Category(2, "0002"),
+            Category(3, None),
+            Category(4, "0004"),
+            Category(4, "0004"),
+            Category(None, "5555"),
+            Category(77, "0077"),
+        ],
+    )
+    spread = dimensions.with_category_code_shuffled(rows, categories, pieces).collect()
+    plain = dimensions.join_category_code(rows, categories).collect()
+    assert Counter(map(tuple, spread)) == Counter(map(tuple, plain))
+    assert len(spread) == len(ids) + 40 + 1
+
+
+def test_a_hot_line_item_key_is_split_when_tables_are_derived(spark, tmp_path) -> None:
+    """Half of the line items share one part and one order."""
+    spark.range(0, 40_000, 1, 8).selectExpr(
+        "IF(id % 2 = 0, 0, id) AS l_orderkey",
+        "IF(id % 2 = 0, 0, id) AS l_partkey",
+        "id AS l_suppkey",
+        "CAST(id % 7 + 1 AS INT) AS l_linenumber",
+        "CAST(id AS DOUBLE) AS l_quantity",
+        "CAST(id AS DOUBLE) AS l_extendedprice",
+        "'A' AS l_returnflag",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    keys = spark.range(0, 40_000, 1, 8)
+    keys.selectExpr(
+        "id AS o_orderkey",
+        "id AS o_custkey",
+        "TIMESTAMP_NTZ '1998-01-01 00:00:00' AS o_orderdate",
+        "'1-URGENT' AS o_orderpriority",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    keys.selectExpr("id AS c_custkey", "1 AS c_nationkey").write.parquet(
+        f"{tmp_path}/customer.parquet"
+    )
+    keys.selectExpr(
+        "id AS p_partkey", "CAST(id % 50 AS INT) AS p_size", "10.0D AS p_retailprice"
+    ).write.parquet(f"{tmp_path}/part.parquet")
+
+    with settings(
+        spark,
+        autoBroadcastJoinThreshold="-1",
+        adaptive_advisoryPartitionSizeInBytes="20KB",
+        adaptive_skewJoin_skewedPartitionThresholdInBytes="40KB",
+        adaptive_skewJoin_skewedPartitionFactor="2",
+    ):
+        rows = fixture.transactions(spark, str(tmp_path)).groupBy("payment_method").count()
+        assert rows.collect() == [("payment01", 40_000)]
+        assert plan_of(rows).count("SortMergeJoin(skew=true)") >= 2
+
+
 def test_a_hot_group_is_summed_before_the_shuffle(spark) -> None:
     def field(value):
         """A value the planner cannot fold away."""
