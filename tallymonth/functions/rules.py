@@ -16,12 +16,10 @@ from tallymonth.profiles import RuleProfile
 from tallymonth.schemas import TOTAL_AMOUNT
 
 
-def _translate(key: Column, table: dict[str, str], default: Column) -> Column:
-    """CASE over a small fixed table; a null or unknown key gives the default."""
-    case = F
-    for value, code in table.items():
-        case = case.when(key == value, F.lit(code))
-    return case.otherwise(default)
+def _translate(key: Column, table: dict[str, str], default: str) -> Column:
+    """Look the key up in a small fixed table; null and unknown keys give the default."""
+    pairs = ", ".join(f"'{value}', '{code}'" for value, code in table.items())
+    return F.coalesce(F.try_element_at(F.expr(f"map({pairs})"), key), F.lit(default))
 
 
 def _missing_if_blank(text: Column) -> Column:
@@ -43,11 +41,11 @@ def report_date(month_end_date: Column) -> Column:
 
 
 def service_system_type(payment_method: Column) -> Column:
-    return _translate(payment_method, lookups.SERVICE_SYSTEM_TYPES, F.lit(""))
+    return _translate(payment_method, lookups.SERVICE_SYSTEM_TYPES, "")
 
 
 def merchant_business_type(service_type: Column, card_brand: Column) -> Column:
-    by_brand = _translate(card_brand, lookups.MERCHANT_BUSINESS_TYPES, F.lit(""))
+    by_brand = _translate(card_brand, lookups.MERCHANT_BUSINESS_TYPES, "")
     return F.when(service_type == lookups.CARD_SERVICE, by_brand).otherwise(F.lit(""))
 
 
@@ -68,9 +66,7 @@ def card_country(issuer: Column) -> Column:
 
 def backend_transaction_type(backend: Column) -> Column:
     return _translate(
-        backend,
-        lookups.BACKEND_TRANSACTION_TYPES,
-        F.lit(lookups.UNKNOWN_TRANSACTION_TYPE),
+        backend, lookups.BACKEND_TRANSACTION_TYPES, lookups.UNKNOWN_TRANSACTION_TYPE
     )
 
 
