@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder all machines see: the checkpoint folder, else one in the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base:
+        return base
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not warehouse:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{warehouse.rstrip('/')}/_scratch"
+
+
 def new_directory(spark: SparkSession, purpose: str) -> str:
-    """A new directory name in the shared folder of ``spark.checkpoint.dir``.
+    """A new directory name in the folder the session shares.
 
-    Without that setting a local session falls back to a temporary folder. A
-    cluster has no folder all its machines share unless it names one.
+    The session's ``spark.checkpoint.dir`` comes first, then the folder given to
+    ``setCheckpointDir``, then the warehouse. Whoever owns that folder clears it:
+    a result may be read long after the call that wrote its parts.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tallymonth-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{_shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
