@@ -7,12 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymonth.llm import exact_dedup, simhash
-from tallymonth.llm.common import table
+from tallymonth.llm import bpe, exact_dedup, language, simhash
+from tallymonth.llm.common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
+    """The installed file of a public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.coded(
+        table(spark, sf_dir, "documents"),
+        vocabulary_path(),
+        ["n_tokens", "ids_sha256", "decoded_sha256"],
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assignments(table(spark, sf_dir, "documents"), keep="max")
 
@@ -24,9 +39,18 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), in_fold("doc_id", 4, 2)
+    model = language.fit(language.labelled_outside(docs, held_out))
+    found = language.predictions(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 QUERIES: dict[str, Query] = {
+    "op4_bpe": op4_bpe,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_simhash": op9_simhash,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
