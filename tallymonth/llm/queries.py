@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymonth.llm import bpe, exact_dedup, language, simhash
+from tallymonth.llm import bpe, exact_dedup, language, mixing, simhash, url_rules
 from tallymonth.llm.common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,36 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = ", ".join(str(rule) for rule in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, verdict)")
+    return url_rules.judged(table(spark, sf_dir, "pages"), rules)
+
+
+WEIGHTS = [5, 2, 1]
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, mixing.cyclic_weights(docs, WEIGHTS), carry=["doc_id"])
+    return mixed.select(
+        "row.doc_id",
+        "size",
+        "source_size",
+        "target",
+        mixing.taken_words(F.col("spans")).alias("taken"),
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assignments(table(spark, sf_dir, "documents"), keep="max")
 
@@ -48,12 +78,44 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_bpe": op4_bpe,
+    "op5_url_rules": op5_url_rules,
+    "op6_mixing": op6_mixing,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_simhash": op9_simhash,
     "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_url_rules": r"""
+        WITH rules(host, path, verdict) AS (VALUES
+            ('org', '/', 'allow'),
+            ('example.org', '/es/', 'block'),
+            ('example.org', '/en/1', 'block'),
+            ('com', '/fr/', 'allow'),
+            ('com', '/de/', 'block')
+        ),
+        parsed AS (
+            SELECT page_id,
+                translate(
+                    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+                ) AS host,
+                coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
+                row_number() OVER () AS nth
+            FROM pages
+        ),
+        fits AS (
+            SELECT p.nth, r.host || r.path AS rule, r.verdict,
+                row_number() OVER (
+                    PARTITION BY p.nth ORDER BY length(r.host || r.path) DESC, length(r.host) DESC
+                ) AS place
+            FROM parsed p JOIN rules r
+                ON (p.host = r.host OR ends_with(p.host, '.' || r.host))
+                AND starts_with(p.path, r.path)
+        )
+        SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+        FROM parsed p LEFT JOIN fits f ON f.nth = p.nth AND f.place = 1
+    """,
     "op7_exact_dedup": """
         WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
         grouped AS (
