@@ -67,7 +67,7 @@ def targets(sizes: DataFrame, weights: DataFrame, cap: float = 3.0) -> DataFrame
     levels = both.withColumn("level", F.try_divide(left, open_weights)).withColumn(
         "full", F.coalesce(F.col("fill") <= F.col("level"), F.lit(True))
     )
-    level = F.min(F.when(~F.col("full"), F.col("level"))).over(every)
+    level = F.max(F.when(~F.col("full"), F.col("level"))).over(every)
     target = F.when(F.col("full"), F.col("most")).otherwise(level * F.col("weight"))
     return levels.select("source", "source_size", target.alias("target"))
 
