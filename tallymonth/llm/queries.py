@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymonth.llm import bpe, exact_dedup, language, mixing, simhash, url_rules
+from tallymonth.llm import bpe, exact_dedup, language, mixing, simhash, url_rules, vector_dedup
 from tallymonth.llm.common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assignments(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op8_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op5_url_rules": op5_url_rules,
     "op6_mixing": op6_mixing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_pivot_index": op8_pivot_index,
     "op9_simhash": op9_simhash,
     "op10_language_id": op10_language_id,
 }
