@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymonth.llm import bpe, exact_dedup, language, mixing, simhash, url_rules, vector_dedup
+from tallymonth.llm import bpe, class_lm, exact_dedup, language, mixing, simhash, url_rules, vector_dedup
 from tallymonth.llm.common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,12 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), in_fold("doc_id", 7, 2)
+    model, rare = class_lm.fit(docs.filter(~held_out))
+    return class_lm.scores(docs, model, rare, held_out)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.coded(
         table(spark, sf_dir, "documents"),
@@ -81,6 +87,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_class_lm": op3_class_lm,
     "op4_bpe": op4_bpe,
     "op5_url_rules": op5_url_rules,
     "op6_mixing": op6_mixing,
