@@ -75,7 +75,7 @@ def codewords(count: int) -> np.ndarray:
     fifteen times the bits that tell the languages apart, drawn far apart, beyond."""
     if count <= 7:
         splits = list(itertools.product((-1, 1), repeat=max(0, count - 1)))[:-1]
-        return np.array([(1, *split) for split in splits], np.int8).reshape(-1, count).T
+        return np.array([(1, *split) for split in splits], np.int8).reshape(len(splits), count).T
     bits, random = 15 * int(np.ceil(np.log2(count))), np.random.default_rng(42)
     best, widest = None, -1
     for _ in range(20):
