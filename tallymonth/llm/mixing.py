@@ -19,7 +19,7 @@ from tallymonth.llm.common import WORD
 
 BLOCK_WORDS = 32
 SHARD_WORDS = 1 << 30
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 SEED = 42
 
 
