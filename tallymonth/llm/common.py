@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def _let_workers_import(spark: SparkSession) -> None:
+    """Name the folder of this package to the Python workers, where it is a plain folder.
+
+    A driver may have put it on its own path alone; clusters get it by --py-files.
+    """
+    folder = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if os.path.isdir(folder) and folder not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, folder])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
