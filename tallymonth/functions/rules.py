@@ -49,8 +49,12 @@ def merchant_business_type(service_type: Column, card_brand: Column) -> Column:
     return F.when(service_type == lookups.CARD_SERVICE, by_brand).otherwise(F.lit(""))
 
 
-def merchant_category_code(service_type: Column, code: Column) -> Column:
+def merchant_category_code(
+    service_type: Column, code: Column, blank_is_missing: bool = False
+) -> Column:
     """The looked-up code; only card rows get the catch-all code in its absence."""
+    if blank_is_missing:
+        code = _missing_if_blank(code)
     catch_all = F.when(
         service_type == lookups.CARD_SERVICE, F.lit(lookups.UNKNOWN_MERCHANT_CATEGORY)
     )

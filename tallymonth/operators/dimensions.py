@@ -2,7 +2,7 @@
 
 The card transaction types are 16 fixed rows and always broadcast. The merchant
 categories come from outside, so their size is measured: below a bound they are
-broadcast, beyond it they are joined by shuffle with the hot keys spread out.
+broadcast, beyond it they are joined by shuffle, all but the rows of hot keys.
 """
 
 from __future__ import annotations
@@ -17,8 +17,10 @@ BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 # Upper estimate of what one broadcast row takes besides its text.
 ROW_OVERHEAD_BYTES = 64
 
-# Pieces the rows of a hot category are cut into when joined by shuffle.
-PIECES = 64
+# More rows of one category than a task should get; and how many such ids may be
+# broadcast with their categories.
+HOT_ROWS = 1_000_000
+MOST_HOT_IDS = 10_000
 
 
 def fits_broadcast(categories: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
@@ -39,45 +41,41 @@ def with_category_code_broadcast(rows: DataFrame, categories: DataFrame) -> Data
     return join_category_code(rows, F.broadcast(categories.select("id", "code")))
 
 
-def hot_category_ids(rows: DataFrame, pieces: int = PIECES) -> DataFrame:
-    """Ids that hold more than one ``pieces``-th of all rows.
-
-    There are fewer than ``pieces`` of them, whatever the data.
-    """
-    fair_share = rows.agg(F.count("*") / pieces).scalar()
+def hot_category_ids(
+    rows: DataFrame, hot_rows: int = HOT_ROWS, most: int = MOST_HOT_IDS
+) -> DataFrame:
+    """Ids with more than ``hot_rows`` rows: the ``most`` frequent ones at most."""
     counted = rows.groupBy("merchant_category_id").agg(F.count("*").alias("rows"))
-    return counted.filter(
-        F.col("merchant_category_id").isNotNull() & (F.col("rows") > fair_share)
-    ).select(F.col("merchant_category_id").alias("hot_id"))
+    hot = counted.filter(F.col("merchant_category_id").isNotNull() & (F.col("rows") > hot_rows))
+    largest = hot.orderBy(F.desc("rows"), "merchant_category_id").limit(most)
+    return largest.select(F.col("merchant_category_id").alias("hot_id"))
 
 
 def with_category_code_shuffled(
-    rows: DataFrame, categories: DataFrame, pieces: int = PIECES
+    rows: DataFrame,
+    categories: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    most_hot_ids: int = MOST_HOT_IDS,
 ) -> DataFrame:
     """Left join by shuffle for categories too large to broadcast.
 
-    A single category, or the rows without one, may hold a large share of all
-    rows. Those rows are cut into pieces, and a hot category is repeated once per
-    piece, so each pair still meets exactly once while its rows spread over many
-    tasks. All other categories are sent once. The hot ids cost a pass over the
-    id column; their number is bounded, so they are broadcast. The piece is a
-    hash of the row: a recomputed task sends its rows where the lost one did.
+    A single category, or the rows without one, may hold a large share of all rows.
+    Rows with a hot id stay where they are and meet a broadcast of the hot ids'
+    categories alone, of which there are ``most_hot_ids`` at most; rows without an id
+    meet nothing. Only the rest is shuffled. Equal rows are no matter, and a recomputed
+    task gives the same rows again. The hot ids cost one pass over the id column.
     """
-    hot = F.broadcast(hot_category_ids(rows, pieces))
-    piece = F.pmod(F.xxhash64(*rows.columns), F.lit(pieces)).cast("int")
-    cut = F.col("hot_id").isNotNull() | F.col("merchant_category_id").isNull()
-    spread = rows.join(hot, rows["merchant_category_id"] == hot["hot_id"], "left").select(
-        *rows.columns, F.when(cut, piece).otherwise(F.lit(0)).alias("row_piece")
-    )
-    every_piece = F.sequence(F.lit(0), F.lit(pieces - 1))
-    pieces_needed = F.when(F.col("hot_id").isNotNull(), every_piece).otherwise(F.array(F.lit(0)))
-    repeated = categories.join(hot, categories["id"] == hot["hot_id"], "left").select(
-        "id", "code", F.explode(pieces_needed).alias("category_piece")
-    )
-    same = (F.col("merchant_category_id") == F.col("id")) & (
-        F.col("row_piece") == F.col("category_piece")
+    hot = F.broadcast(hot_category_ids(rows, hot_rows, most_hot_ids))
+    marked = rows.join(hot, rows["merchant_category_id"] == hot["hot_id"], "left")
+    of_hot = categories.join(hot, categories["id"] == hot["hot_id"], "left_semi")
+    stay = marked.filter(F.col("hot_id").isNotNull()).select(*rows.columns)
+    go = marked.filter(F.col("hot_id").isNull() & F.col("merchant_category_id").isNotNull())
+    unknown = rows.filter(F.col("merchant_category_id").isNull())
+    return (
+        with_category_code_broadcast(stay, of_hot)
+        .unionByName(join_category_code(go.select(*rows.columns), categories.hint("merge")))
+        .unionByName(unknown.withColumn("code", F.lit(None).cast("string")))
     )
-    return spread.join(repeated, same, "left").select(*rows.columns, "code")
 
 
 def with_category_code(

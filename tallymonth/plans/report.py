@@ -45,8 +45,10 @@ def classified(transactions: DataFrame, profile: RuleProfile) -> DataFrame:
     )
 
 
-def _with_merchant_category(rows: DataFrame) -> DataFrame:
-    code = rules.merchant_category_code(F.col("service_system_type"), F.col("code"))
+def _with_merchant_category(rows: DataFrame, profile: RuleProfile) -> DataFrame:
+    code = rules.merchant_category_code(
+        F.col("service_system_type"), F.col("code"), profile.blank_category_code_is_missing
+    )
     return rows.withColumn("merchant_category_code", code)
 
 
@@ -69,12 +71,12 @@ def group_totals(
     rows = classified(transactions, profile)
     if dimensions.fits_broadcast(categories, broadcast_limit_bytes):
         coded = dimensions.with_category_code_broadcast(rows, categories)
-        return totals(_with_merchant_category(coded), GROUP_KEYS, profile)
+        return totals(_with_merchant_category(coded, profile), GROUP_KEYS, profile)
 
     id_keys = [key for key in GROUP_KEYS if key != "merchant_category_code"]
     parts = totals(rows, [*id_keys, "merchant_category_id"], profile)
-    coded = dimensions.join_category_code(parts, categories)
-    return merged_totals(_with_merchant_category(coded), GROUP_KEYS)
+    coded = dimensions.join_category_code(parts, categories.hint("merge"))
+    return merged_totals(_with_merchant_category(coded, profile), GROUP_KEYS)
 
 
 def monthly_report(

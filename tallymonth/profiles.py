@@ -19,6 +19,7 @@ class RuleProfile:
         otherwise the transaction type is unknown.
     unlisted_brand_is_other: a brand outside the card table uses its "other"
         rows; otherwise only the literal value does.
+    blank_category_code_is_missing: a blank category code counts as none.
     counts_missing_amounts: ``number`` counts records; otherwise only those with
         an amount.
     rounds_average_before_range: the average is rounded to cents before the
@@ -31,6 +32,7 @@ class RuleProfile:
     card_table_for_all_methods: bool
     missing_issuer_is_inter: bool
     unlisted_brand_is_other: bool
+    blank_category_code_is_missing: bool
     counts_missing_amounts: bool
     rounds_average_before_range: bool
     prints_two_decimals: bool
@@ -41,6 +43,7 @@ AS_IMPLEMENTED = RuleProfile(
     card_table_for_all_methods=True,
     missing_issuer_is_inter=True,
     unlisted_brand_is_other=False,
+    blank_category_code_is_missing=False,
     counts_missing_amounts=False,
     rounds_average_before_range=True,
     prints_two_decimals=False,
@@ -51,6 +54,7 @@ AS_SPECIFIED = RuleProfile(
     card_table_for_all_methods=False,
     missing_issuer_is_inter=False,
     unlisted_brand_is_other=True,
+    blank_category_code_is_missing=True,
     counts_missing_amounts=True,
     rounds_average_before_range=False,
     prints_two_decimals=True,

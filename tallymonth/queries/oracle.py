@@ -127,8 +127,16 @@ def _within(profile: str, bound: int) -> str:
 
 
 def _amount_range(profile: str) -> str:
-    bounds = [(500, 1), (1000, 2), (2000, 3), (5000, 4), (10000, 5), (30000, 6)]
-    cases = " ".join(f"WHEN {_within(profile, b)} THEN '9456000000{i}'" for b, i in bounds)
+    # The prescribed range codes.
+    codes = {
+        500: "94560000001",
+        1000: "94560000002",
+        2000: "94560000003",
+        5000: "94560000004",
+        10000: "94560000005",
+        30000: "94560000006",
+    }
+    cases = " ".join(f"WHEN {_within(profile, b)} THEN '{code}'" for b, code in codes.items())
     return f"CASE WHEN amount IS NULL THEN NULL {cases} ELSE '94560000007' END"
 
 

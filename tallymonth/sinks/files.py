@@ -27,6 +27,10 @@ MONTHLY_FORMAT = {
     "header": "true",
     "nullValue": "",
     "emptyValue": "",
+    # Values are written as they are; a quote inside a quoted value is doubled.
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "escape": '"',
 }
 
 
@@ -67,30 +71,33 @@ def write_monthly_files(
     """
     spark = report.sparkSession
     staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
-    write_month_partitions(report, staging, profile)
-
     hadoop = spark.sparkContext._jvm.org.apache.hadoop
     staging_dir = hadoop.fs.Path(staging)
     files = staging_dir.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = []
-    parts = files.globStatus(hadoop.fs.Path(f"{staging}/{FILE_COLUMN}=*/part-*"))
-    for part in parts or []:
-        source = part.getPath()
-        name = source.getParent().getName().removeprefix(f"{FILE_COLUMN}=") + ".csv"
-        if name in names:
-            raise OSError(f"{staging} holds more than one part for {name}")
-        target = hadoop.fs.Path(path, name)
-        files.delete(target, False)
-        if not files.rename(source, target):
-            raise OSError(f"could not move {source} to {target}")
-        names.append(name)
-    files.delete(staging_dir, True)
+    try:
+        write_month_partitions(report, staging, profile)
+        parts = files.globStatus(hadoop.fs.Path(f"{staging}/{FILE_COLUMN}=*/part-*")) or []
+        sources = [part.getPath() for part in parts]
+        names = [
+            source.getParent().getName().removeprefix(f"{FILE_COLUMN}=") + ".csv"
+            for source in sources
+        ]
+        if len(set(names)) < len(names):
+            raise OSError(f"{staging} holds more than one part for a month: {sorted(names)}")
+        for source, name in zip(sources, names, strict=True):
+            target = hadoop.fs.Path(path, name)
+            files.delete(target, False)
+            if not files.rename(source, target):
+                raise OSError(f"could not move {source} to {target}")
+    finally:
+        files.delete(staging_dir, True)
     return sorted(names)
 
 
 def read_monthly_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A report written by either monthly writer. Empty fields read as null."""
-    options = {key: MONTHLY_FORMAT[key] for key in ("sep", "header")}
+    names = ("sep", "header", "escape", "ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace")
+    options = {name: MONTHLY_FORMAT[name] for name in names}
     return spark.read.schema(REPORT).options(**options).csv(path).select(*REPORT.fieldNames())
 
 

@@ -1,6 +1,6 @@
 """Readers of the two inputs.
 
-Columns are found by the names in the header, wherever they stand; columns the
+Columns are found by the names in the header, in any case, wherever they stand; columns the
 report does not use are left in the file.
 """
 
@@ -14,7 +14,8 @@ from tallymonth.schemas import AMOUNT, CORRUPT_RECORD, MERCHANT_CATEGORIES, TRAN
 
 
 def _require_columns(names: list[str], schema: T.StructType, where: str) -> None:
-    missing = [name for name in schema.fieldNames() if name not in names]
+    there = {name.lower() for name in names}
+    missing = [name for name in schema.fieldNames() if name not in there]
     if missing:
         raise ValueError(f"{where} lacks the columns {missing}; it has {names}")
 
@@ -27,7 +28,7 @@ def _read_csv(
     _require_columns(header, schema, path)
     types = {field.name: field.dataType for field in schema}
     in_file = T.StructType(
-        [T.StructField(name, types.get(name, T.StringType())) for name in header]
+        [T.StructField(name, types.get(name.lower(), T.StringType())) for name in header]
     )
     wanted = schema.fieldNames()
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")

@@ -11,9 +11,43 @@ from typing import NamedTuple
 
 SERVICE = {"payment01": "CPF", "payment02": "OTH", "payment03": "OTH", "payment04": "OTH"}
 BUSINESS = {"brand01": "30101", "brand02": "30102", "brand03": "30103", "brand04": "30104"}
-BACKEND = {"b12": "000001", "b14": "000002", "b15": "000003"} | dict.fromkeys(
-    ("b03", "b04", "b05", "b06"), "000004"
-)
+# The prescribed codes, written out apart from the package's own tables.
+BACKEND = {
+    "b03": "000004",
+    "b04": "000004",
+    "b05": "000004",
+    "b06": "000004",
+    "b12": "000001",
+    "b14": "000002",
+    "b15": "000003",
+}
+CARD = {
+    ("type01", True, "brand01"): "010001",
+    ("type01", True, "brand02"): "010002",
+    ("type01", True, "brand03"): "010003",
+    ("type01", True, "other"): "010004",
+    ("type01", False, "brand01"): "010011",
+    ("type01", False, "brand02"): "010012",
+    ("type01", False, "brand03"): "010013",
+    ("type01", False, "other"): "010014",
+    ("type02", True, "brand01"): "010021",
+    ("type02", True, "brand02"): "010022",
+    ("type02", True, "brand03"): "010023",
+    ("type02", True, "other"): "010024",
+    ("type02", False, "brand01"): "010031",
+    ("type02", False, "brand02"): "010032",
+    ("type02", False, "brand03"): "010033",
+    ("type02", False, "other"): "010034",
+}
+RANGES = [
+    "94560000001",
+    "94560000002",
+    "94560000003",
+    "94560000004",
+    "94560000005",
+    "94560000006",
+    "94560000007",
+]
 BOUNDS = (500, 1000, 2000, 5000, 10000, 30000)
 
 
@@ -40,12 +74,7 @@ def month_end(date: datetime.date | None) -> str | None:
 
 
 def card_code(card_type: str | None, brand: str | None, local: bool) -> str | None:
-    """The sixteen codes, by their make-up: tens for type and country, ones for brand."""
-    brands = {"brand01": 1, "brand02": 2, "brand03": 3, "other": 4}
-    tens = {"type01": 0, "type02": 2}
-    if card_type not in tens or brand not in brands:
-        return None
-    return f"0100{tens[card_type] + (not local)}{brands[brand]}"
+    return CARD.get((card_type, local, brand))
 
 
 def transaction_type(tx: Transaction, specified: bool) -> str:
@@ -67,7 +96,7 @@ def amount_range(total: Decimal | None, number: int, specified: bool) -> str | N
     average = Fraction(total) / number
     if not specified:
         average = Fraction(rounded(total, number))
-    return f"9456000000{1 + sum(average > bound for bound in BOUNDS)}"
+    return RANGES[sum(average > bound for bound in BOUNDS)]
 
 
 def rounded(total: Decimal, number: int) -> Decimal:
@@ -90,6 +119,8 @@ def report(
             if c.id is not None and c.id == tx.merchant_category_id
         ] or [None]
         for code in codes:
+            if specified and code == "":
+                code = None
             if code is None and is_card:
                 code = "9999"
             key = (

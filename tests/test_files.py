@@ -25,6 +25,7 @@ from tallymonth import (
     write_plain_csv,
 )
 from tallymonth.__main__ import main
+from tallymonth.schemas import REPORT
 from tests.helpers import categories_of, plan_of, transactions_of
 from tests.model import Category, Transaction
 
@@ -231,3 +232,20 @@ def test_scratch_directories_are_new_and_shared(spark) -> None:
     first, second = (scratch.new_directory(spark, "x") for _ in range(2))
     assert first != second
     assert first.startswith(f"{base}/x-")
+
+
+def test_values_are_written_as_they_are(spark, tmp_path) -> None:
+    row = ("42", "2018-12-31", "CPF", "010001", ' 3"0 ', " 0742", Decimal("1.00"), 1, "94560000001")
+    report = spark.createDataFrame([row], REPORT)
+    (name,) = write_monthly_files(report, str(tmp_path), AS_SPECIFIED)
+    line = (tmp_path / name).read_bytes().split(b"\r\n")[1]
+    assert line == b'42|2018-12-31|CPF|010001|" 3""0 "| 0742|1.00|1|94560000001'
+    assert [tuple(r) for r in read_monthly_files(spark, str(tmp_path)).collect()] == [row]
+    assert [p.name for p in tmp_path.iterdir() if p.name.startswith("_")] == []
+
+
+def test_header_names_in_any_case(spark, tmp_path) -> None:
+    (tmp_path / "mcc.csv").write_text("Code,ID\n0742,7\n")
+    read = read_merchant_categories(spark, str(tmp_path / "mcc.csv"))
+    assert read.columns == ["id", "code"]
+    assert read.collect() == [(7, "0742")]

@@ -9,7 +9,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tallymonth.queries.oracle import ORACLE_SQL
+from tallymonth.queries.registry import QUERIES
 
 TYPES = {
     "string": "VARCHAR",
@@ -40,13 +42,13 @@ def _plain(value: object) -> object:
 
 
 def test_every_query_has_sql() -> None:
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE_SQL.keys()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows_and_types(spark, duck, sf_dir: str, name: str) -> None:
-    result = queries()[name](spark, sf_dir)
-    expected = duck.sql(oracle_sql()[name])
+    result = QUERIES[name](spark, sf_dir)
+    expected = duck.sql(ORACLE_SQL[name])
 
     types = {n: TYPES.get(t, t.upper()) for n, t in result.dtypes}
     assert types == {n: str(t) for n, t in zip(expected.columns, expected.types)}

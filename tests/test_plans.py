@@ -10,10 +10,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from tallymonth import AS_IMPLEMENTED, AS_SPECIFIED, monthly_report, report_for_month, report_months
 from tallymonth.operators import dimensions
 from tallymonth.queries import fixture
+from tallymonth.queries.registry import QUERIES
 from tests.helpers import categories_of, plan_of, settings, transactions_of
 from tests.model import Category, Transaction
 
@@ -85,10 +85,10 @@ def test_size_check_counts_rows_and_text(spark) -> None:
     assert dimensions.fits_broadcast(categories.limit(0), 0)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_stay_compiled_and_out_of_python(spark, sf_dir, name) -> None:
     with settings(spark, adaptive_enabled="false"):
-        frame = queries()[name](spark, sf_dir)
+        frame = QUERIES[name](spark, sf_dir)
         code = plan_of(frame, "codegen")
         plan = plan_of(frame)
     sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", code)]
@@ -100,7 +100,8 @@ def test_queries_stay_compiled_and_out_of_python(spark, sf_dir, name) -> None:
 def test_hot_and_missing_categories_are_spread(spark) -> None:
     """A third of the rows in one category and a third in none."""
     third = 3000
-    rows = spark.range(3 * third).select(
+    # Hot rows stay in the tasks that read them: as many as the shuffle has.
+    rows = spark.range(0, 3 * third, 1, 16).select(
         F.lit(datetime.date(2018, 12, 3)).alias("date"),
         F.col("id").cast("decimal(18,2)").alias("amount"),
         F.lit("payment01").alias("payment_method"),
@@ -116,8 +117,8 @@ def test_hot_and_missing_categories_are_spread(spark) -> None:
     with settings(
         spark, autoBroadcastJoinThreshold="-1", adaptive_enabled="false", shuffle_partitions="16"
     ):
-        assert dimensions.hot_category_ids(rows).collect() == [(1,)]
-        joined = dimensions.with_category_code_shuffled(rows, categories)
+        assert dimensions.hot_category_ids(rows, third - 1).collect() == [(1,)]
+        joined = dimensions.with_category_code_shuffled(rows, categories, third - 1)
         per_task = joined.groupBy(F.spark_partition_id()).count().collect()
         plain = dimensions.join_category_code(rows, categories)
         plain_per_task = plain.groupBy(F.spark_partition_id()).count().collect()
@@ -127,8 +128,8 @@ def test_hot_and_missing_categories_are_spread(spark) -> None:
     assert max(row["count"] for row in per_task) < 3 * third / 16 * 2
 
 
-@pytest.mark.parametrize("pieces", [1, 3, 64])
-def test_spread_lookup_equals_the_plain_join(spark, pieces) -> None:
+@pytest.mark.parametrize(("hot_rows", "most"), [(0, 99), (19, 99), (19, 1), (1000, 99)])
+def test_spread_lookup_equals_the_plain_join(spark, hot_rows, most) -> None:
     """With hot, rare, missing, unmatched and repeated ids."""
     ids = [1] * 40 + [2] * 20 + [3, 4, 5, 99] + [None] * 30
     rows = transactions_of(
@@ -148,12 +149,27 @@ def test_spread_lookup_equals_the_plain_join(spark, pieces) -> None:
             Category(77, "0077"),
         ],
     )
-    spread = dimensions.with_category_code_shuffled(rows, categories, pieces).collect()
+    spread = dimensions.with_category_code_shuffled(rows, categories, hot_rows, most).collect()
     plain = dimensions.join_category_code(rows, categories).collect()
     assert Counter(map(tuple, spread)) == Counter(map(tuple, plain))
     assert len(spread) == len(ids) + 40 + 1
 
 
+def test_equal_rows_of_one_category_are_no_single_task(spark) -> None:
+    rows = spark.range(0, 20_000, 1, 20).selectExpr("1 AS merchant_category_id", "'x' AS same")
+    with settings(spark, autoBroadcastJoinThreshold="-1", adaptive_enabled="false"):
+        joined = dimensions.with_category_code_shuffled(
+            rows, categories_of(spark, [Category(1, "0001")]), hot_rows=1000
+        )
+        per_task = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert max(row["count"] for row in per_task) <= 3 * 20_000 / 20
+
+
+@pytest.mark.parametrize("name", ["report_with_large_categories", "merchant_category_code_shuffled"])
+def test_registered_shuffled_lookups_are_no_broadcasts(spark, sf_dir, name) -> None:
+    assert "SortMergeJoin" in plan_of(QUERIES[name](spark, sf_dir))
+
+
 def test_a_hot_line_item_key_is_split_when_tables_are_derived(spark, tmp_path) -> None:
     """Half of the line items share one part and one order."""
     spark.range(0, 40_000, 1, 8).selectExpr(

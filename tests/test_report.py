@@ -103,10 +103,11 @@ def test_categories_missing_unmatched_without_code_and_repeated(spark) -> None:
         Category(4, "3000"),
         Category(4, "3000"),
         Category(None, "4000"),
+        Category(5, ""),
     ]
     rows = [
         Transaction(merchant_category_id=key, payment_method=method)
-        for key in (1, 2, 3, 4, 99, None)
+        for key in (1, 2, 3, 4, 5, 99, None)
         for method in ("payment01", "payment02")
     ]
     check_against_model(spark, rows, categories)
