@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymonth.llm import bpe, class_lm, exact_dedup, language, mixing, simhash, url_rules, vector_dedup
+from tallymonth.llm import bpe, class_lm, exact_dedup, language, mixing, sharding, simhash, token_counts, url_rules, vector_dedup
 from tallymonth.llm.common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,18 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+SHARD_BYTES = 1 << 20
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary_path("piece_bpe_32k.model")
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), path)
+
+
 def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), in_fold("doc_id", 7, 2)
     model, rare = class_lm.fit(docs.filter(~held_out))
@@ -87,6 +99,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_sharding": op1_sharding,
+    "op2_token_counts": op2_token_counts,
     "op3_class_lm": op3_class_lm,
     "op4_bpe": op4_bpe,
     "op5_url_rules": op5_url_rules,
