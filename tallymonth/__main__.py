@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tallymonth.operators.dimensions import duplicate_category_ids
 from tallymonth.plans.report import monthly_report
 from tallymonth.profiles import AS_IMPLEMENTED, PROFILES
+from tallymonth.schemas import CORRUPT_RECORD
 from tallymonth.sinks import files as sinks
 from tallymonth.sources.files import read_merchant_categories, read_transactions
 
@@ -25,9 +27,14 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--profile", choices=sorted(PROFILES), default=AS_IMPLEMENTED.name)
     parser.add_argument(
         "--sink",
-        choices=["monthly", "plain"],
+        choices=["monthly", "partitions", "plain"],
         default="monthly",
-        help="one file per month, or one plain CSV directory",
+        help="one file per month, one directory per month, or one plain CSV directory",
+    )
+    parser.add_argument(
+        "--keep-malformed",
+        action="store_true",
+        help="go on with malformed records, their unreadable values missing, and count them",
     )
     return parser.parse_args(argv)
 
@@ -43,8 +50,15 @@ def main(argv: list[str] | None = None) -> int:
         .getOrCreate()
     )
 
-    transactions = read_transactions(spark, options.transactions)
-    categories = read_merchant_categories(spark, options.categories)
+    strict = not options.keep_malformed
+    transactions = read_transactions(
+        spark, options.transactions, keep_corrupt_record=not strict, fail_on_malformed=strict
+    )
+    categories = read_merchant_categories(spark, options.categories, fail_on_malformed=strict)
+    malformed = Observation("malformed transactions")
+    if not strict:
+        # Counted by the scan that feeds the report; a task that runs again may count twice.
+        transactions = transactions.observe(malformed, F.count(CORRUPT_RECORD).alias("records"))
     if not duplicate_category_ids(categories).isEmpty():
         print("Warning: merchant category ids repeat; their transactions count once per code")
 
@@ -53,10 +67,15 @@ def main(argv: list[str] | None = None) -> int:
     if options.sink == "plain":
         sinks.write_plain_csv(report, options.output)
         records = sinks.read_plain_csv(spark, options.output).count()
+    elif options.sink == "partitions":
+        sinks.write_month_partitions(report, options.output, profile)
+        records = sinks.read_monthly_files(spark, options.output).count()
     else:
         names = sinks.write_monthly_files(report, options.output, profile)
         written = [f"{options.output.rstrip('/')}/{name}" for name in names]
         records = sinks.read_monthly_files(spark, written).count() if written else 0
+    if not strict:
+        print(f"Malformed transactions: {malformed.get['records']}")
     print(f"Reporting records: {records}")
     return records
 

@@ -26,6 +26,20 @@ def _missing_if_blank(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
+# A number in plain notation: its sign, whole part and decimals without idle zeros.
+PLAIN_NUMBER = r"^\+?(-?)0*([0-9]+)(?:(\.[0-9]*[1-9])0*|\.0*)?$"
+
+
+def category_key(identifier: Column) -> Column:
+    """A category id in the form that equal ids share; null for a blank one.
+
+    A number in plain notation counts by its value, so ``7``, ``007`` and ``7.0`` are the
+    same id, however long it is. Any other text counts as it stands, trimmed.
+    """
+    text = F.trim(identifier.cast("string"))
+    return _missing_if_blank(F.regexp_replace(text, PLAIN_NUMBER, "$1$2$3"))
+
+
 def fi_code() -> Column:
     return F.lit(lookups.FI_CODE)
 
@@ -135,7 +149,7 @@ def average_amount(amount: Column, number: Column) -> Column:
     counted = F.nullif(number, F.lit(0)).cast("decimal(20,0)")
     rounded = F.call_function("div", 2 * cents + counted, 2 * counted)
     signed = F.when(amount < 0, -rounded).otherwise(rounded)
-    return (signed.cast("decimal(20,0)") / 100).cast("decimal(18,2)")
+    return (signed.cast("decimal(20,0)") / 100).cast("decimal(20,2)")
 
 
 def terminal_average_amount_range(

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallymonth.functions import rules
 from tallymonth.lookups import card_transaction_types
 
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
@@ -23,32 +25,49 @@ HOT_ROWS = 1_000_000
 MOST_HOT_IDS = 10_000
 
 
+KEY = "category_key_lkp"
+
+
+def _key(frame: DataFrame, name: str) -> Column:
+    """The key a category id joins by. Whole numbers have one text each already."""
+    if isinstance(frame.schema[name].dataType, T.IntegralType):
+        return F.col(name).cast("string")
+    return rules.category_key(F.col(name))
+
+
+def _keyed(categories: DataFrame) -> DataFrame:
+    return categories.select(_key(categories, "id").alias(KEY), "code")
+
+
 def fits_broadcast(categories: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
     """Measure the merchant categories: one distributed sum, one number back."""
-    row_bytes = F.lit(ROW_OVERHEAD_BYTES) + F.coalesce(F.octet_length("code"), F.lit(0))
+    text_bytes = [
+        F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) for name in ("id", "code")
+    ]
+    row_bytes = F.lit(ROW_OVERHEAD_BYTES) + text_bytes[0] + text_bytes[1]
     measured = categories.agg(F.sum(row_bytes).alias("bytes")).first()["bytes"]
     return (measured or 0) <= limit_bytes
 
 
 def join_category_code(rows: DataFrame, categories: DataFrame) -> DataFrame:
-    """Left join on the category id. A missing id matches nothing."""
-    dimension = categories.select("id", "code")
-    return rows.join(dimension, rows["merchant_category_id"] == dimension["id"], "left").drop("id")
+    """Left join on the category id by its value. A missing id matches nothing."""
+    same = _key(rows, "merchant_category_id") == F.col(KEY)
+    return rows.join(_keyed(categories), same, "left").drop(KEY)
 
 
 def with_category_code_broadcast(rows: DataFrame, categories: DataFrame) -> DataFrame:
     """The join on a broadcast copy. Only for categories known to be small."""
-    return join_category_code(rows, F.broadcast(categories.select("id", "code")))
+    return join_category_code(rows, F.broadcast(categories))
 
 
 def hot_category_ids(
     rows: DataFrame, hot_rows: int = HOT_ROWS, most: int = MOST_HOT_IDS
 ) -> DataFrame:
     """Ids with more than ``hot_rows`` rows: the ``most`` frequent ones at most."""
-    counted = rows.groupBy("merchant_category_id").agg(F.count("*").alias("rows"))
-    hot = counted.filter(F.col("merchant_category_id").isNotNull() & (F.col("rows") > hot_rows))
-    largest = hot.orderBy(F.desc("rows"), "merchant_category_id").limit(most)
-    return largest.select(F.col("merchant_category_id").alias("hot_id"))
+    key = _key(rows, "merchant_category_id").alias("hot_id")
+    counted = rows.groupBy(key).agg(F.count("*").alias("rows"))
+    hot = counted.filter(F.col("hot_id").isNotNull() & (F.col("rows") > hot_rows))
+    return hot.orderBy(F.desc("rows"), "hot_id").limit(most).select("hot_id")
 
 
 def with_category_code_shuffled(
@@ -66,11 +85,12 @@ def with_category_code_shuffled(
     task gives the same rows again. The hot ids cost one pass over the id column.
     """
     hot = F.broadcast(hot_category_ids(rows, hot_rows, most_hot_ids))
-    marked = rows.join(hot, rows["merchant_category_id"] == hot["hot_id"], "left")
-    of_hot = categories.join(hot, categories["id"] == hot["hot_id"], "left_semi")
+    key = _key(rows, "merchant_category_id")
+    marked = rows.join(hot, key == F.col("hot_id"), "left")
+    of_hot = categories.join(hot, _key(categories, "id") == F.col("hot_id"), "left_semi")
     stay = marked.filter(F.col("hot_id").isNotNull()).select(*rows.columns)
-    go = marked.filter(F.col("hot_id").isNull() & F.col("merchant_category_id").isNotNull())
-    unknown = rows.filter(F.col("merchant_category_id").isNull())
+    go = marked.filter(F.col("hot_id").isNull() & key.isNotNull())
+    unknown = rows.filter(key.isNull())
     return (
         with_category_code_broadcast(stay, of_hot)
         .unionByName(join_category_code(go.select(*rows.columns), categories.hint("merge")))
@@ -94,7 +114,7 @@ def with_category_code(
 def duplicate_category_ids(categories: DataFrame) -> DataFrame:
     """Ids that would repeat transactions and so inflate their totals."""
     return (
-        categories.groupBy("id")
+        categories.groupBy(_key(categories, "id").alias("id"))
         .agg(F.count("*").alias("occurrences"))
         .filter((F.col("occurrences") > 1) & F.col("id").isNotNull())
     )

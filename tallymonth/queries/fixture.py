@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = {
     "lineitem": (
         "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
-        "l_quantity DOUBLE, l_extendedprice DOUBLE, l_returnflag STRING"
+        "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_returnflag STRING"
     ),
     "orders": (
         "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
@@ -21,6 +21,7 @@ TABLES = {
     "customer": "c_custkey BIGINT, c_nationkey INT",
     "part": "p_partkey BIGINT, p_size INT, p_retailprice DOUBLE",
     "nation": "n_nationkey INT",
+    "supplier": "s_suppkey BIGINT",
 }
 
 IS_CARD = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
@@ -74,6 +75,45 @@ CATEGORY_COLUMNS = [
 ]
 
 
+# A table that grows with the data; keys that end in 9 repeat the id before them.
+LARGE_CATEGORY_COLUMNS = [
+    "p_partkey - IF(p_partkey % 10 = 9, 1, 0) AS id",
+    """CASE WHEN p_partkey % 9 <> 8
+        THEN lpad(CAST(p_partkey % 10000 AS STRING), 4, '0') END AS code""",
+]
+
+# As a file may hold them: amounts finer than cents, ids beyond 32 bits, with idle zeros or
+# letters, and malformed dates and amounts.
+ROUGH_TRANSACTION_COLUMNS = [
+    """CASE WHEN l_linenumber = 6 AND l_suppkey % 3 = 0
+        THEN concat(lpad(CAST(l_suppkey % 28 + 1 AS STRING), 2, '0'), '/12/2018')
+        ELSE concat('2018-12-', lpad(CAST(l_suppkey % 28 + 1 AS STRING), 2, '0')) END AS date""",
+    """CASE WHEN l_suppkey % 20 = 7 THEN concat(CAST(CAST(l_quantity AS INT) AS STRING), 'x')
+        WHEN l_suppkey % 20 <> 8
+        THEN CAST(CAST(l_extendedprice * l_discount AS DECIMAL(28,6)) AS STRING) END AS amount""",
+    "'payment01' AS payment_method",
+    "'type01' AS card_type",
+    "'brand01' AS card_brand",
+    "'A029' AS card_country_issuer_code",
+    "CAST(NULL AS STRING) AS backend_name",
+    """CASE l_linenumber
+        WHEN 1 THEN CAST(l_suppkey + 3000000000 AS STRING)
+        WHEN 2 THEN concat(CAST(l_suppkey + 3000000000 AS STRING), '.0')
+        WHEN 3 THEN concat('000', CAST(l_suppkey + 3000000000 AS STRING))
+        WHEN 4 THEN concat('m', CAST(l_suppkey AS STRING))
+        WHEN 5 THEN concat(CAST(l_suppkey + 3000000000 AS STRING), '.5') END
+        AS merchant_category_id""",
+]
+
+ROUGH_CATEGORY_COLUMNS = [
+    """stack(2,
+        concat(CAST(s_suppkey + IF(s_suppkey % 2 = 0, 3000000000, 9000000000) AS STRING), '.00'),
+        lpad(CAST(s_suppkey % 10000 AS STRING), 4, '0'),
+        concat('m', CAST(s_suppkey AS STRING)),
+        lpad(CAST((s_suppkey + 5000) % 10000 AS STRING), 4, '0')) AS (id, code)""",
+]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -97,3 +137,18 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merchant categories, read from nation; codes keep their leading zero."""
     return table(spark, sf_dir, "nation").selectExpr(*CATEGORY_COLUMNS)
+
+
+def large_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merchant categories as many as parts, some ids repeated."""
+    return table(spark, sf_dir, "part").selectExpr(*LARGE_CATEGORY_COLUMNS)
+
+
+def rough_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions as text with every fault a file may have, one per line item."""
+    return table(spark, sf_dir, "lineitem").selectExpr(*ROUGH_TRANSACTION_COLUMNS)
+
+
+def rough_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two categories per supplier: one by a long number, one by a name."""
+    return table(spark, sf_dir, "supplier").selectExpr(*ROUGH_CATEGORY_COLUMNS)

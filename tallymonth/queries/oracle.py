@@ -55,6 +55,41 @@ _MCC = """mcc AS (
   FROM nation
 )"""
 
+_LARGE_MCC = """mcc AS (
+  SELECT CASE WHEN p_partkey % 10 = 9 THEN p_partkey - 1 ELSE p_partkey END AS id,
+    CASE WHEN p_partkey % 9 <> 8
+         THEN lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') END AS code
+  FROM part
+)"""
+
+# As the reader is to give them: malformed dates and amounts are null, ids as they stand.
+_ROUGH_TX = """rough AS (
+  SELECT l_suppkey, l_linenumber,
+    l_linenumber = 6 AND l_suppkey % 3 = 0 AS bad_date,
+    l_suppkey % 20 = 7 AS bad_amount,
+    CASE WHEN NOT (l_linenumber = 6 AND l_suppkey % 3 = 0)
+         THEN DATE '2018-12-01' + CAST(l_suppkey % 28 AS INTEGER) END AS date,
+    CASE WHEN l_suppkey % 20 NOT IN (7, 8)
+         THEN CAST(l_extendedprice * l_discount AS DECIMAL(28,6)) END AS amount,
+    CASE l_linenumber
+      WHEN 1 THEN CAST(l_suppkey + 3000000000 AS VARCHAR)
+      WHEN 2 THEN CAST(l_suppkey + 3000000000 AS VARCHAR) || '.0'
+      WHEN 3 THEN '000' || CAST(l_suppkey + 3000000000 AS VARCHAR)
+      WHEN 4 THEN 'm' || CAST(l_suppkey AS VARCHAR)
+      WHEN 5 THEN CAST(l_suppkey + 3000000000 AS VARCHAR) || '.5' END AS merchant_category_id
+  FROM lineitem
+)"""
+
+_ROUGH_MCC = """rough_mcc AS (
+  SELECT s_suppkey, s_suppkey % 2 = 0 AS by_number,
+    CAST(s_suppkey + CASE WHEN s_suppkey % 2 = 0 THEN 3000000000 ELSE 9000000000 END AS VARCHAR)
+      || '.00' AS number_id,
+    lpad(CAST(s_suppkey % 10000 AS VARCHAR), 4, '0') AS number_code,
+    'm' || CAST(s_suppkey AS VARCHAR) AS name_id,
+    lpad(CAST((s_suppkey + 5000) % 10000 AS VARCHAR), 4, '0') AS name_code
+  FROM supplier
+)"""
+
 # Prescribed by the report's rules, must not be changed.
 _TABLES = """service_types(payment_method, service_system_type) AS (
   VALUES ('payment01', 'CPF'), ('payment02', 'OTH'), ('payment03', 'OTH'), ('payment04', 'OTH')
@@ -145,7 +180,7 @@ def _grouped(profile: str) -> str:
   SELECT month_end AS date, service_system_type,
     transaction_type_{profile} AS transaction_type,
     merchant_business_type, merchant_category_code,
-    CAST(sum(amount) AS DECIMAL(28,2)) AS amount, {_COUNTED[profile]} AS number
+    CAST(sum(amount) AS DECIMAL(34,2)) AS amount, {_COUNTED[profile]} AS number
   FROM enriched GROUP BY 1, 2, 3, 4, 5
 )"""
 
@@ -154,14 +189,14 @@ def _with(*parts: str, select: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + select
 
 
-def _rows(columns: str) -> str:
-    return _with(_TX, _MCC, _TABLES, _ENRICHED, select=f"SELECT {columns} FROM enriched")
+def _rows(columns: str, mcc: str = _MCC) -> str:
+    return _with(_TX, mcc, _TABLES, _ENRICHED, select=f"SELECT {columns} FROM enriched")
 
 
-def _report(profile: str, where: str = "") -> str:
+def _report(profile: str, where: str = "", mcc: str = _MCC) -> str:
     return _with(
         _TX,
-        _MCC,
+        mcc,
         _TABLES,
         _ENRICHED,
         _grouped(profile),
@@ -179,7 +214,7 @@ def _group_totals(profile: str) -> str:
         _ENRICHED,
         _grouped(profile),
         select=f"""SELECT {_KEYS}, amount, number,
-  CAST({_AVERAGE} AS DECIMAL(18,2)) AS average_amount
+  CAST({_AVERAGE} AS DECIMAL(20,2)) AS average_amount
 FROM grouped""",
     )
 
@@ -189,7 +224,7 @@ def _ranges(profile: str) -> str:
         _TX,
         f"""grouped AS (
   SELECT strftime(last_day(date), '%Y-%m-%d') AS date, merchant_category_id,
-    CAST(sum(amount) AS DECIMAL(28,2)) AS amount, {_COUNTED[profile]} AS number
+    CAST(sum(amount) AS DECIMAL(34,2)) AS amount, {_COUNTED[profile]} AS number
   FROM tx GROUP BY 1, 2
 )""",
         select=f"""SELECT date, merchant_category_id, amount, number,
@@ -227,8 +262,33 @@ _MONTHS = _with(
 ORACLE_SQL: dict[str, str] = {
     "tx_scan": _with(_TX, select=f"SELECT {_TX_COLUMNS} FROM tx"),
     "mcc_scan": _with(_MCC, select="SELECT id, code FROM mcc"),
-    "tx_csv_scan": _with(_TX, select=f"SELECT {_TX_COLUMNS} FROM tx"),
-    "mcc_csv_scan": _with(_MCC, select="SELECT id, code FROM mcc"),
+    # From files, amounts come in the reader's type and ids as text.
+    "tx_csv_scan": _with(
+        _TX,
+        select="""SELECT date, CAST(amount AS DECIMAL(28,6)) AS amount, payment_method, card_type,
+  card_brand, card_country_issuer_code, backend_name,
+  CAST(merchant_category_id AS VARCHAR) AS merchant_category_id FROM tx""",
+    ),
+    "mcc_csv_scan": _with(_MCC, select="SELECT CAST(id AS VARCHAR) AS id, code FROM mcc"),
+    "rough_tx_csv_scan": _with(
+        _ROUGH_TX,
+        select="""SELECT date, amount, 'payment01' AS payment_method, 'type01' AS card_type,
+  'brand01' AS card_brand, 'A029' AS card_country_issuer_code,
+  CAST(NULL AS VARCHAR) AS backend_name, merchant_category_id FROM rough""",
+    ),
+    "rough_mcc_csv_scan": _with(
+        _ROUGH_MCC,
+        select="""SELECT number_id AS id, number_code AS code FROM rough_mcc
+UNION ALL SELECT name_id, name_code FROM rough_mcc""",
+    ),
+    "rejected_values": _with(
+        _ROUGH_TX,
+        select="""SELECT count(*) AS records,
+  count(*) FILTER (WHERE bad_date OR bad_amount) AS rejected,
+  count(*) FILTER (WHERE bad_date) AS without_date,
+  count(*) FILTER (WHERE bad_amount OR (bad_date AND amount IS NULL)) AS without_amount
+FROM rough""",
+    ),
     "tx_type_lookup": _with(
         _TX,
         _TABLES,
@@ -249,7 +309,15 @@ GROUP BY 1, 2, 3, 4""",
         "merchant_category_id, service_system_type, merchant_category_code"
     ),
     "merchant_category_code_shuffled": _rows(
-        "merchant_category_id, service_system_type, merchant_category_code"
+        "merchant_category_id, service_system_type, merchant_category_code", _LARGE_MCC
+    ),
+    "merchant_category_code_text_ids": _with(
+        _ROUGH_TX,
+        _ROUGH_MCC,
+        select="""SELECT merchant_category_id, 'CPF' AS service_system_type,
+  coalesce(CASE WHEN l_linenumber IN (1, 2, 3) AND by_number THEN number_code
+                WHEN l_linenumber = 4 THEN name_code END, '9999') AS merchant_category_code
+FROM rough LEFT JOIN rough_mcc ON l_suppkey = s_suppkey""",
     ),
     "transaction_type": _rows(
         f"{_CARD_COLUMNS}, transaction_type_implemented AS transaction_type"
@@ -258,8 +326,8 @@ GROUP BY 1, 2, 3, 4""",
         f"{_CARD_COLUMNS}, transaction_type_specified AS transaction_type"
     ),
     "mcc_duplicate_ids": _with(
-        _MCC,
-        select="""SELECT id, count(*) AS occurrences FROM mcc
+        _LARGE_MCC,
+        select="""SELECT CAST(id AS VARCHAR) AS id, count(*) AS occurrences FROM mcc
 WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1""",
     ),
     "monthly_totals": _with(
@@ -267,7 +335,7 @@ WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1""",
         _TABLES,
         select="""SELECT strftime(last_day(t.date), '%Y-%m-%d') AS date,
   coalesce(s.service_system_type, '') AS service_system_type,
-  CAST(sum(t.amount) AS DECIMAL(28,2)) AS amount, count(t.amount) AS number
+  CAST(sum(t.amount) AS DECIMAL(34,2)) AS amount, count(t.amount) AS number
 FROM tx t LEFT JOIN service_types s ON t.payment_method = s.payment_method
 GROUP BY 1, 2""",
     ),
@@ -277,7 +345,7 @@ GROUP BY 1, 2""",
     "terminal_average_amount_range_as_specified": _ranges("specified"),
     "report_as_implemented": _report("implemented"),
     "report_as_specified": _report("specified"),
-    "report_with_large_categories": _report("specified"),
+    "report_with_large_categories": _report("specified", mcc=_LARGE_MCC),
     "report_months": _MONTHS,
     "report_for_month": _report("implemented", "WHERE date = '1998-12-31'"),
     "report_file_names": f"""SELECT date, 'ACME_' || replace(date, '-', '') || '.csv' AS file_name

@@ -15,7 +15,13 @@ from tallymonth.operators import dimensions
 from tallymonth.operators.totals import totals
 from tallymonth.plans import report as plans
 from tallymonth.profiles import AS_IMPLEMENTED, AS_SPECIFIED, RuleProfile
-from tallymonth.queries.fixture import categories, transactions
+from tallymonth.queries.fixture import (
+    categories,
+    large_categories,
+    rough_categories,
+    rough_transactions,
+    transactions,
+)
 from tallymonth.schemas import GROUP_KEYS
 from tallymonth.sinks import files as sinks
 from tallymonth.sources import files as sources
@@ -48,6 +54,33 @@ def mcc_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_merchant_categories(spark, path)
 
 
+def _rough_transactions(
+    spark: SparkSession, sf_dir: str, keep_corrupt_record: bool = False
+) -> DataFrame:
+    path = scratch.new_directory(spark, "rough-transactions")
+    rough_transactions(spark, sf_dir).write.option("header", True).csv(path)
+    return sources.read_transactions(spark, path, keep_corrupt_record)
+
+
+def _rough_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch.new_directory(spark, "rough-categories")
+    rough_categories(spark, sf_dir).write.option("header", True).csv(path)
+    return sources.read_merchant_categories(spark, path)
+
+
+def rough_tx_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids beyond 32 bits, amounts finer than cents, malformed values as nulls."""
+    return _rough_transactions(spark, sf_dir)
+
+
+def rough_mcc_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rough_categories(spark, sf_dir)
+
+
+def rejected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.rejected_values(_rough_transactions(spark, sf_dir, keep_corrupt_record=True))
+
+
 def tx_type_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookup's rows with the number of transactions each one matches."""
     keys = ["card_type", "card_brand", "card_country"]
@@ -138,10 +171,18 @@ def merchant_category_code_shuffled(spark: SparkSession, sf_dir: str) -> DataFra
         "date", "amount", "payment_method", "merchant_category_id"
     )
     return _category_codes(
-        dimensions.with_category_code_shuffled(rows, categories(spark, sf_dir))
+        dimensions.with_category_code_shuffled(rows, large_categories(spark, sf_dir))
     )
 
 
+def merchant_category_code_text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids met by their value, in whatever form the files hold them."""
+    rows = dimensions.with_category_code(
+        _rough_transactions(spark, sf_dir), _rough_categories(spark, sf_dir)
+    )
+    return _category_codes(rows)
+
+
 def _transaction_type(profile: RuleProfile) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         method, card_type, brand, issuer, backend = (
@@ -169,7 +210,7 @@ def _transaction_type(profile: RuleProfile) -> Query:
 
 
 def mcc_duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.duplicate_category_ids(categories(spark, sf_dir))
+    return dimensions.duplicate_category_ids(large_categories(spark, sf_dir))
 
 
 # Totals
@@ -247,7 +288,7 @@ def report_with_large_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report as it is planned when the categories are too large to broadcast."""
     return plans.monthly_report(
         transactions(spark, sf_dir),
-        categories(spark, sf_dir),
+        large_categories(spark, sf_dir),
         AS_SPECIFIED,
         broadcast_limit_bytes=0,
     )
@@ -310,6 +351,9 @@ QUERIES: dict[str, Query] = {
     "mcc_scan": mcc_scan,
     "tx_csv_scan": tx_csv_scan,
     "mcc_csv_scan": mcc_csv_scan,
+    "rough_tx_csv_scan": rough_tx_csv_scan,
+    "rough_mcc_csv_scan": rough_mcc_csv_scan,
+    "rejected_values": rejected_values,
     "tx_type_lookup": tx_type_lookup,
     "fi_code": fi_code,
     "month_end_date": month_end_date,
@@ -319,6 +363,7 @@ QUERIES: dict[str, Query] = {
     "backend_transaction_type": backend_transaction_type,
     "merchant_category_code": merchant_category_code,
     "merchant_category_code_shuffled": merchant_category_code_shuffled,
+    "merchant_category_code_text_ids": merchant_category_code_text_ids,
     "transaction_type": _transaction_type(AS_IMPLEMENTED),
     "transaction_type_as_specified": _transaction_type(AS_SPECIFIED),
     "mcc_duplicate_ids": mcc_duplicate_ids,

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-AMOUNT = T.DecimalType(18, 2)
+# Wide and fine enough to take what a file holds; only sums are rounded, to cents.
+AMOUNT = T.DecimalType(28, 6)
 
-# Spark sums decimal(18,2) into decimal(28,2); the report keeps that width, so a
+# Spark sums decimal(28,6) into decimal(38,6); the report keeps its whole digits, so a
 # total that can be summed can also be written.
-TOTAL_AMOUNT = T.DecimalType(28, 2)
+TOTAL_AMOUNT = T.DecimalType(34, 2)
 
 CORRUPT_RECORD = "_corrupt_record"
 
@@ -26,13 +27,13 @@ TRANSACTIONS = T.StructType(
         T.StructField("card_brand", T.StringType()),
         T.StructField("card_country_issuer_code", T.StringType()),
         T.StructField("backend_name", T.StringType()),
-        T.StructField("merchant_category_id", T.IntegerType()),
+        T.StructField("merchant_category_id", T.StringType()),
     ]
 )
 
 MERCHANT_CATEGORIES = T.StructType(
     [
-        T.StructField("id", T.IntegerType()),
+        T.StructField("id", T.StringType()),
         T.StructField("code", T.StringType()),
     ]
 )

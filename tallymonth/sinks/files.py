@@ -66,8 +66,8 @@ def write_monthly_files(
     """One file per report date, named after it, directly in ``path``.
 
     The tasks write to a staging directory beside the files. Each file is then
-    renamed into place, replacing an earlier one of that date. Files of other
-    dates stay. Returns the file names.
+    renamed over an earlier one of that date, which stays until then. Files of
+    other dates stay. Returns the file names.
     """
     spark = report.sparkSession
     staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
@@ -84,11 +84,13 @@ def write_monthly_files(
         ]
         if len(set(names)) < len(names):
             raise OSError(f"{staging} holds more than one part for a month: {sorted(names)}")
+        context = hadoop.fs.FileContext.getFileContext(
+            files.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
+        )
+        replace = spark.sparkContext._gateway.new_array(hadoop.fs.Options.Rename, 1)
+        replace[0] = hadoop.fs.Options.Rename.OVERWRITE
         for source, name in zip(sources, names, strict=True):
-            target = hadoop.fs.Path(path, name)
-            files.delete(target, False)
-            if not files.rename(source, target):
-                raise OSError(f"could not move {source} to {target}")
+            context.rename(source, files.makeQualified(hadoop.fs.Path(path, name)), replace)
     finally:
         files.delete(staging_dir, True)
     return sorted(names)

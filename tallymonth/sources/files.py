@@ -21,7 +21,11 @@ def _require_columns(names: list[str], schema: T.StructType, where: str) -> None
 
 
 def _read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, keep_corrupt_record: bool
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    keep_corrupt_record: bool,
+    fail_on_malformed: bool,
 ) -> DataFrame:
     # Without type inference, asking for the columns reads only the first line.
     header = spark.read.option("header", True).csv(path).columns
@@ -31,7 +35,11 @@ def _read_csv(
         [T.StructField(name, types.get(name.lower(), T.StringType())) for name in header]
     )
     wanted = schema.fieldNames()
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.read.option("header", True)
+    reader = reader.option("mode", "FAILFAST" if fail_on_malformed else "PERMISSIVE")
+    if keep_corrupt_record or fail_on_malformed:
+        # With columns pruned by the parser, a line that is cut short looks whole.
+        reader = reader.option("columnPruning", False)
     if keep_corrupt_record:
         in_file = in_file.add(CORRUPT_RECORD, T.StringType())
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_RECORD)
@@ -45,11 +53,14 @@ def read_transactions(
     path: str,
     keep_corrupt_record: bool = False,
     amount_type: T.DecimalType = AMOUNT,
+    fail_on_malformed: bool = False,
 ) -> DataFrame:
     """Transactions from CSV with a header.
 
     A malformed value becomes null and its row is kept. With
-    ``keep_corrupt_record`` the raw line of such a row is kept beside it.
+    ``keep_corrupt_record`` the raw line of such a row is kept beside it; see
+    :func:`rejected_values`. With ``fail_on_malformed`` the first such row fails the
+    job that meets it, at no cost to the others. Ids are text and never malformed.
     An amount finer than ``amount_type`` is rounded as it is read; a finer type
     keeps it, and the report rounds the sums only.
     """
@@ -59,14 +70,29 @@ def read_transactions(
             for field in TRANSACTIONS
         ]
     )
-    return _read_csv(spark, path, schema, keep_corrupt_record)
+    return _read_csv(spark, path, schema, keep_corrupt_record, fail_on_malformed)
 
 
 def read_merchant_categories(
-    spark: SparkSession, path: str, keep_corrupt_record: bool = False
+    spark: SparkSession,
+    path: str,
+    keep_corrupt_record: bool = False,
+    fail_on_malformed: bool = False,
 ) -> DataFrame:
-    """Merchant categories from CSV with a header. Codes stay text."""
-    return _read_csv(spark, path, MERCHANT_CATEGORIES, keep_corrupt_record)
+    """Merchant categories from CSV with a header. Ids and codes stay text."""
+    return _read_csv(spark, path, MERCHANT_CATEGORIES, keep_corrupt_record, fail_on_malformed)
+
+
+def rejected_values(transactions: DataFrame) -> DataFrame:
+    """One row on transactions read with ``keep_corrupt_record``: how many records there
+    are, how many were malformed, and how many of these lost their date or their amount."""
+    malformed = F.col(CORRUPT_RECORD).isNotNull()
+    return transactions.agg(
+        F.count("*").alias("records"),
+        F.count(CORRUPT_RECORD).alias("rejected"),
+        F.count_if(malformed & F.col("date").isNull()).alias("without_date"),
+        F.count_if(malformed & F.col("amount").isNull()).alias("without_amount"),
+    )
 
 
 def conformed(rows: DataFrame, schema: T.StructType) -> DataFrame:

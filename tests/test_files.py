@@ -162,8 +162,8 @@ def test_transactions_are_read_by_name(spark, tmp_path) -> None:
     )
     rows = read_transactions(spark, str(source))
     assert [tuple(row) for row in rows.collect()] == [
-        Transaction(amount=Decimal("12.50"), merchant_category_id=7),
-        Transaction(amount=None, card_type=None, backend_name="b03", merchant_category_id=None),
+        Transaction(amount=Decimal("12.50"), merchant_category_id="7"),
+        Transaction(amount=None, card_type=None, backend_name="b03", merchant_category_id="x"),
     ]
     kept = read_transactions(spark, str(source), keep_corrupt_record=True).collect()
     assert [row["_corrupt_record"] for row in kept] == [
@@ -176,15 +176,15 @@ def test_only_used_columns_are_parsed(spark, tmp_path) -> None:
     source = tmp_path / "tx.csv"
     source.write_text(TX_HEADER + "n,7,2018-12-03,12.50,payment01,type01,brand01,A029,\n")
     plan = plan_of(read_transactions(spark, str(source)).select("date", "amount"))
-    assert "ReadSchema: struct<date:date,amount:decimal(18,2)>" in plan
+    assert "ReadSchema: struct<date:date,amount:decimal(28,6)>" in plan
 
 
 def test_amount_type_keeps_fine_amounts(spark, tmp_path) -> None:
     source = tmp_path / "tx.csv"
     source.write_text(TX_HEADER + "n,7,2018-12-03,0.335,payment01,type01,brand01,A029,\n")
-    assert read_transactions(spark, str(source)).first()["amount"] == Decimal("0.34")
-    fine = read_transactions(spark, str(source), amount_type=T.DecimalType(20, 4))
-    assert fine.first()["amount"] == Decimal("0.3350")
+    assert read_transactions(spark, str(source)).first()["amount"] == Decimal("0.335")
+    coarse = read_transactions(spark, str(source), amount_type=T.DecimalType(18, 2))
+    assert coarse.first()["amount"] == Decimal("0.34")
 
 
 def test_missing_column_is_named(spark, tmp_path) -> None:
@@ -205,7 +205,7 @@ def test_category_codes_keep_leading_zeros(spark, tmp_path) -> None:
     source = tmp_path / "mcc.csv"
     source.write_text("id,name,code\n1,shop,0742\n2,shop,\n")
     rows = read_merchant_categories(spark, str(source)).collect()
-    assert [tuple(row) for row in rows] == [(1, "0742"), (2, None)]
+    assert [tuple(row) for row in rows] == [("1", "0742"), ("2", None)]
 
 
 @pytest.mark.parametrize("profile", ["as_implemented", "as_specified"])
@@ -248,4 +248,78 @@ def test_header_names_in_any_case(spark, tmp_path) -> None:
     (tmp_path / "mcc.csv").write_text("Code,ID\n0742,7\n")
     read = read_merchant_categories(spark, str(tmp_path / "mcc.csv"))
     assert read.columns == ["id", "code"]
-    assert read.collect() == [(7, "0742")]
+    assert read.collect() == [("7", "0742")]
+
+
+def launched(tmp_path, lines, *options) -> list[list[str]]:
+    """The fields of the December report the launcher writes for these transactions."""
+    (tmp_path / "mcc.csv").write_text("id,code\n7,0742\n3000000007.0,0743\nm7,0744\n")
+    (tmp_path / "tx.csv").write_text(TX_HEADER + "".join(lines))
+    inputs = ["--transactions", f"{tmp_path}/tx.csv", "--categories", f"{tmp_path}/mcc.csv"]
+    main([*inputs, "--output", f"{tmp_path}/out", *options])
+    text = (tmp_path / "out/ACME_20181231.csv").read_text()
+    return sorted(line.split("|") for line in text.splitlines()[1:])
+
+
+def line_of(category: str, amount: str, date: str = "2018-12-03") -> str:
+    return f"n,{category},{date},{amount},payment01,type01,brand01,A029,\n"
+
+
+@pytest.mark.parametrize("profile", ["as_implemented", "as_specified"])
+def test_ids_of_any_form_find_their_code(spark, tmp_path, profile) -> None:
+    ids = ["7", "007", "7.0", "+7", " 7 ", "3000000007", "m7", " m7", "7.5", "M7", "-7", ""]
+    rows = launched(tmp_path, [line_of(key, "1.00") for key in ids], "--profile", profile)
+    assert [(row[5], row[7]) for row in rows] == [
+        ("0742", "5"),
+        ("0743", "1"),
+        ("0744", "2"),
+        ("9999", "4"),
+    ]
+
+
+@pytest.mark.parametrize("profile", ["as_implemented", "as_specified"])
+def test_fine_and_large_amounts_are_summed_before_rounding(spark, tmp_path, profile) -> None:
+    fine = [line_of("7", "0.004")] * 1000
+    large = [line_of("m7", "20000000000000000.00")]
+    rows = launched(tmp_path, fine + large, "--profile", profile)
+    assert [Decimal(row[6]) for row in rows] == [Decimal(4), Decimal("20000000000000000")]
+    assert [row[7] for row in rows] == ["1000", "1"]
+
+
+MALFORMED = [
+    line_of("7", "12x"),
+    line_of("7", "1.00", "03/12/2018"),
+    "n,7,2018-12-03,1.00,payment01\n",
+]
+
+
+@pytest.mark.parametrize("bad", MALFORMED)
+def test_malformed_records_fail_the_run(spark, tmp_path, bad) -> None:
+    with pytest.raises(Exception, match="MALFORMED"):
+        launched(tmp_path, [line_of("7", "100.00"), bad])
+    assert not list((tmp_path / "out").glob("*"))
+
+
+def test_malformed_records_are_counted_if_kept(spark, tmp_path, capsys) -> None:
+    rows = launched(tmp_path, [line_of("7", "100.00"), *MALFORMED], "--keep-malformed")
+    assert "Malformed transactions: 3" in capsys.readouterr().out
+    assert len(rows) == 2
+
+
+def test_an_earlier_month_stays_if_the_move_fails(spark, tmp_path) -> None:
+    write_monthly_files(report_of(spark, [DECEMBER]), str(tmp_path))
+    december = (tmp_path / "ACME_20181231.csv").read_bytes()
+    # A folder that holds something cannot be replaced by a file.
+    (tmp_path / "ACME_20181130.csv" / "x").mkdir(parents=True)
+    with pytest.raises(Exception, match="ACME_20181130"):
+        write_monthly_files(report_of(spark, [NOVEMBER, DECEMBER]), str(tmp_path))
+    assert (tmp_path / "ACME_20181231.csv").read_bytes() == december
+    assert not [name for name in os.listdir(tmp_path) if name.startswith("_staging")]
+
+
+def test_launcher_writes_a_directory_per_month(spark, tmp_path) -> None:
+    (tmp_path / "mcc.csv").write_text("id,code\n7,0742\n")
+    (tmp_path / "tx.csv").write_text(TX_HEADER + line_of("7", "1.00"))
+    inputs = ["--transactions", f"{tmp_path}/tx.csv", "--categories", f"{tmp_path}/mcc.csv"]
+    assert main([*inputs, "--output", f"{tmp_path}/out", "--sink", "partitions"]) == 1
+    assert data_files(tmp_path / "out") == ["report_file=ACME_20181231"]

@@ -55,7 +55,7 @@ def test_only_used_columns_are_read(stored) -> None:
     (schema,) = re.findall(r"ReadSchema: struct<(date:[^>]*)>", plan)
     read = {column.split(":")[0] for column in schema.split(",")}
     # What only the other profile needs is not read.
-    assert read == set(Transaction._fields) - {"backend_name"} | {"2)"}
+    assert read == set(Transaction._fields) - {"backend_name"} | {"6)"}
     assert "ReadSchema: struct<date:date>" in plan_of(report_months(stored[0]))
 
 
@@ -79,7 +79,7 @@ def test_large_categories_are_never_broadcast(spark, stored) -> None:
 
 def test_size_check_counts_rows_and_text(spark) -> None:
     categories = categories_of(spark, [Category(n, "0742") for n in range(10)])
-    size = 10 * (dimensions.ROW_OVERHEAD_BYTES + 4)
+    size = 10 * (dimensions.ROW_OVERHEAD_BYTES + 1 + 4)
     assert dimensions.fits_broadcast(categories, size)
     assert not dimensions.fits_broadcast(categories, size - 1)
     assert dimensions.fits_broadcast(categories.limit(0), 0)
@@ -117,7 +117,7 @@ def test_hot_and_missing_categories_are_spread(spark) -> None:
     with settings(
         spark, autoBroadcastJoinThreshold="-1", adaptive_enabled="false", shuffle_partitions="16"
     ):
-        assert dimensions.hot_category_ids(rows, third - 1).collect() == [(1,)]
+        assert dimensions.hot_category_ids(rows, third - 1).collect() == [("1",)]
         joined = dimensions.with_category_code_shuffled(rows, categories, third - 1)
         per_task = joined.groupBy(F.spark_partition_id()).count().collect()
         plain = dimensions.join_category_code(rows, categories)

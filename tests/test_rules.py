@@ -105,7 +105,9 @@ def transaction_types(spark, rows: list[Transaction], profile) -> list[str]:
     code = rules.transaction_type(
         profile, columns[0], F.col("backend_name"), F.col("transaction_type_code_lkp")
     )
-    out = frame.select("merchant_category_id", code.alias("code")).orderBy("merchant_category_id")
+    out = frame.select("merchant_category_id", code.alias("code")).orderBy(
+        F.col("merchant_category_id").cast("int")
+    )
     return [row["code"] for row in out.collect()]
 
 
