@@ -11,7 +11,7 @@ character that no piece covers alone may also be unknown, at the least score les
 from __future__ import annotations
 
 import functools
-from collections import Counter
+import math
 from collections.abc import Iterator
 
 import ahocorasick
@@ -33,7 +33,7 @@ def read_pieces(path: str) -> list[tuple[str, float]]:
 
 
 class Counts(dict):
-    """Number of tokens of each word met, up to ``CACHED_WORDS`` of them."""
+    """Number of tokens of each word met after a space, up to ``CACHED_WORDS`` of them."""
 
     def __init__(self, pieces: list[tuple[str, float]]) -> None:
         super().__init__()
@@ -44,42 +44,51 @@ class Counts(dict):
         self.unknown = min(score for _, score in pieces) - UNKNOWN_PENALTY
 
     def __missing__(self, word: str) -> int:
-        count = self.search(word)
+        count = self.search(SPACE + word)
         if len(self) >= CACHED_WORDS:
             self.clear()
         self[word] = count
         return count
 
     def search(self, word: str) -> int:
+        """Tokens of one word. The automaton gives the matches by their end and, of those that
+        end together, the longest first; a place is settled once its last candidate is seen."""
         size = len(word)
-        score, count, unknown = [0.0] * (size + 1), [0] * (size + 1), [False] * (size + 1)
-        ending: list[list[tuple[int, float]]] = [[] for _ in range(size)]
-        for end, match in self.automaton.iter(word):
-            ending[end].append(match)
-        for end, matches in enumerate(ending, start=1):
-            best, start = None, 0
-            for length, piece_score in sorted(matches, reverse=True):
-                reached = score[end - length] + piece_score
-                if best is None or reached > best:
-                    best, start = reached, end - length
-            last_unknown = False
-            if not any(length == 1 for length, _ in matches):
+        score, count = [0.0] + [-math.inf] * size, [0] * (size + 1)
+        unknown = [False] * (size + 1)
+
+        def settle(places: range) -> None:
+            """Let the character before each place be unknown: no piece covers it alone."""
+            for end in places:
                 reached = score[end - 1] + self.unknown
-                if best is None or reached > best:
-                    best, start, last_unknown = reached, end - 1, True
-            score[end], unknown[end] = best, last_unknown
-            count[end] = count[start] + (not (last_unknown and unknown[start]))
+                if reached > score[end]:
+                    score[end], unknown[end] = reached, True
+                    count[end] = count[end - 1] + (not unknown[end - 1])
+
+        settled = 0
+        for last, (length, piece_score) in self.automaton.iter(word):
+            if settled < last:
+                settle(range(settled + 1, last + 1))
+                settled = last
+            end = last + 1
+            start = end - length
+            reached = score[start] + piece_score
+            if reached > score[end]:
+                score[end] = reached
+                count[end] = count[start] + 1
+            if length == 1:
+                settled = end
+        settle(range(settled + 1, size + 1))
         return count[size]
 
     def of(self, text: str) -> int:
         """Tokens of a text: a space begins the word after it, and so does the text."""
         if not text:
             return 0
-        words = text.replace(" ", SPACE).split(SPACE)
+        words = text.replace(SPACE, " ").split(" ")
         if not words[0]:
             words = words[1:]
-        found = Counter(words)
-        return sum(n * self[SPACE + word] for word, n in found.items())
+        return sum(map(self.__getitem__, words))
 
 
 @functools.lru_cache(maxsize=2)
