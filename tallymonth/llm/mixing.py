@@ -79,31 +79,44 @@ def quota(target: Column, source_size: Column, block_words: int, cap: float) ->
     ).cast("long")
 
 
-def shard_quotas(
-    planned: DataFrame, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS
-) -> DataFrame:
-    """(source, shard, first_block, blocks) of (source, target, blocks), for every shard.
-
-    A shard gets the blocks whose quotients come in with its part of the targets.
-    """
+def with_shards(planned: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """Add ``shards``: how many shards of about ``shard_words`` words the mix is cut into."""
     every = Window.partitionBy()
     shards = F.greatest(F.ceil(F.sum("target").over(every) / shard_words), F.lit(1))
-    cut = planned.withColumn("shards", shards).withColumn(
-        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))
+    return planned.withColumn("shards", F.coalesce(shards, F.lit(1)).cast("long"))
+
+
+def _dealt(shard: Column, block_words: int) -> Column:
+    """Blocks of a source in the shards before ``shard``: those whose quotients come in
+    with that part of the targets."""
+    part = F.floor(F.col("target") * shard / F.col("shards") / block_words + 0.5)
+    return F.when(shard >= F.col("shards"), F.col("blocks")).otherwise(
+        F.least(part, F.col("blocks"))
     )
 
-    def until(shard: Column) -> Column:
-        part = F.floor(F.col("target") * shard / F.col("shards") / block_words + 0.5)
-        return F.when(shard == F.col("shards"), F.col("blocks")).otherwise(
-            F.least(part, F.col("blocks"))
-        )
 
-    first = until(F.col("shard"))
+def _shard_of(block: Column, block_words: int) -> Column:
+    """The shard that a block of a source is dealt to, by the same numbers as ``_dealt``."""
+    place = F.try_divide((block + 0.5) * block_words * F.col("shards"), F.col("target"))
+    near = F.greatest(F.least(F.ceil(place) - 1, F.col("shards") - 1), F.lit(0))
+    return (
+        F.when(_dealt(near, block_words) > block, near - 1)
+        .when(_dealt(near + 1, block_words) <= block, near + 1)
+        .otherwise(near)
+    )
+
+
+def shard_quotas(planned: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(source, shard, first_block, blocks) of (source, target, blocks, shards), for every shard."""
+    cut = planned.withColumn(
+        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))
+    )
+    first, end = (_dealt(F.col("shard") + more, block_words) for more in (0, 1))
     return cut.select(
         "source",
         "shard",
         first.cast("long").alias("first_block"),
-        (until(F.col("shard") + 1) - first).cast("long").alias("blocks"),
+        (end - first).cast("long").alias("blocks"),
     )
 
 
@@ -112,14 +125,16 @@ def mix(
     weights: DataFrame,
     cap: float = 3.0,
     block_words: int = BLOCK_WORDS,
+    shard_words: int = SHARD_WORDS,
     seed: int = SEED,
     carry: list[str] | None = None,
 ) -> DataFrame:
     """Every document with its place in the mix; ``carry`` names the columns in ``row``.
 
     Columns: row (struct), source, size (words), source_size, target, blocks (the source's
-    quota), spans: an array of (epoch, first_block, last_block, words), one for each
-    time that the document, or its first ``words`` words, is taken. Null texts have no
+    quota), spans: an array of (epoch, first_block, last_block, first_shard, last_shard,
+    words), one for each time that the document, or its first ``words`` words, is taken;
+    the shards are those to which the first and the last block are dealt. Null texts have no
     words and are never taken; a null source is a source. Rows that repeat a document
     are documents of their own. The order depends on seed, id and text alone, so
     reruns agree. An empty table gives an empty result.
@@ -151,12 +166,13 @@ def mix(
     planned = targets(sizes, weights, cap).withColumn(
         "blocks", quota(F.col("target"), F.col("source_size"), block_words, cap)
     )
+    planned = with_shards(planned, shard_words)
     ahead = Window.partitionBy("name", "unnamed").orderBy("part")
     starts = sums.withColumn(
         "start", F.coalesce(F.sum("part_size").over(ahead.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
     starts = _join_source(starts, planned, "inner").select(
-        *keys, "start", "source_size", "target", "blocks"
+        *keys, "start", "source_size", "target", "blocks", "shards"
     )
 
     within = Window.partitionBy(*keys).orderBy(F.shiftrightunsigned("order", 1), "order", "tie")
@@ -170,10 +186,14 @@ def mix(
     def span(epoch: Column) -> Column:
         start = first + epoch * F.col("source_size")
         words = F.least(F.col("size"), taken - start)
+        first_block = F.floor(start / block_words)
+        last_block = F.floor((start + words - 1) / block_words)
         return F.struct(
             epoch.cast("int").alias("epoch"),
-            F.floor(start / block_words).alias("first_block"),
-            F.floor((start + words - 1) / block_words).alias("last_block"),
+            first_block.alias("first_block"),
+            last_block.alias("last_block"),
+            _shard_of(first_block, block_words).alias("first_shard"),
+            _shard_of(last_block, block_words).alias("last_shard"),
             words.alias("words"),
         )
 
@@ -190,7 +210,8 @@ def mix(
     )
 
 
-_SPANS = "array<struct<epoch:int,first_block:bigint,last_block:bigint,words:bigint>>"
+_SPANS = """array<struct<epoch:int,first_block:bigint,last_block:bigint,
+    first_shard:bigint,last_shard:bigint,words:bigint>>"""
 
 
 def taken_words(spans: Column) -> Column:

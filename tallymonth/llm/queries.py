@@ -73,6 +73,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_size",
         "target",
         mixing.taken_words(F.col("spans")).alias("taken"),
+        F.array_min("spans.first_shard").alias("first_shard"),
+        F.array_max("spans.last_shard").alias("last_shard"),
     )
 
 
