@@ -1,5 +1,6 @@
 """Monthly card-transaction reports on Spark."""
 
+from tallymonth.operators.dimensions import fits_broadcast
 from tallymonth.plans.report import (
     group_totals,
     input_counts,
@@ -26,6 +27,7 @@ __all__ = [
     "PROFILES",
     "RuleProfile",
     "conformed",
+    "fits_broadcast",
     "group_totals",
     "input_counts",
     "monthly_report",

@@ -11,7 +11,7 @@ import argparse
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallymonth.operators.dimensions import duplicate_category_ids
+from tallymonth.operators.dimensions import duplicate_category_ids, fits_broadcast
 from tallymonth.plans.report import monthly_report
 from tallymonth.profiles import AS_IMPLEMENTED, PROFILES
 from tallymonth.schemas import CORRUPT_RECORD
@@ -62,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
     if not duplicate_category_ids(categories).isEmpty():
         print("Warning: merchant category ids repeat; their transactions count once per code")
 
-    report = monthly_report(transactions, categories, profile)
+    report = monthly_report(transactions, categories, profile, fits_broadcast(categories))
     # Counting the files just written is cheaper than computing the report again.
     if options.sink == "plain":
         sinks.write_plain_csv(report, options.output)

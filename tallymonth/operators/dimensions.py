@@ -1,8 +1,9 @@
 """Lookups of transactions in the two dimensions.
 
 The card transaction types are 16 fixed rows and always broadcast. The merchant
-categories come from outside, so their size is measured: below a bound they are
-broadcast, beyond it they are joined by shuffle, all but the rows of hot keys.
+categories come from outside. A caller that has measured them (``fits_broadcast``) may
+have them broadcast; else they are joined by shuffle, all but the rows of hot keys.
+Planning a lookup runs no job.
 """
 
 from __future__ import annotations
@@ -99,14 +100,16 @@ def with_category_code_shuffled(
 
 
 def with_category_code(
-    rows: DataFrame, categories: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES
+    rows: DataFrame, categories: DataFrame, small_categories: bool = False
 ) -> DataFrame:
     """Add ``code`` of each row's merchant category, null where there is none.
 
+    ``small_categories`` says that the caller found them to fit a broadcast.
+
     A category id that occurs more than once repeats the row once per code; see
     :func:`duplicate_category_ids`.
     """
-    if fits_broadcast(categories, limit_bytes):
+    if small_categories:
         return with_category_code_broadcast(rows, categories)
     return with_category_code_shuffled(rows, categories)
 

@@ -56,12 +56,13 @@ def group_totals(
     transactions: DataFrame,
     categories: DataFrame,
     profile: RuleProfile = AS_IMPLEMENTED,
-    broadcast_limit_bytes: int = dimensions.BROADCAST_LIMIT_BYTES,
+    small_categories: bool = False,
 ) -> DataFrame:
     """Sum and count per report group; ``date`` is the month end as a date.
 
-    With categories small enough to broadcast, lookups and partial sums run in
-    the stage that reads the transactions and one shuffle finishes them.
+    With ``small_categories``, which the caller has measured to fit a broadcast
+    (``fits_broadcast``), lookups and partial sums run in the stage that reads the
+    transactions and one shuffle finishes them.
 
     Otherwise the transactions are summed per category id first. The join with
     the large side then moves sums instead of transactions, and a hot category
@@ -69,7 +70,7 @@ def group_totals(
     same result, repeated category ids included.
     """
     rows = classified(transactions, profile)
-    if dimensions.fits_broadcast(categories, broadcast_limit_bytes):
+    if small_categories:
         coded = dimensions.with_category_code_broadcast(rows, categories)
         return totals(_with_merchant_category(coded, profile), GROUP_KEYS, profile)
 
@@ -83,10 +84,10 @@ def monthly_report(
     transactions: DataFrame,
     categories: DataFrame,
     profile: RuleProfile = AS_IMPLEMENTED,
-    broadcast_limit_bytes: int = dimensions.BROADCAST_LIMIT_BYTES,
+    small_categories: bool = False,
 ) -> DataFrame:
-    """The nine report columns, one row per group."""
-    grouped = group_totals(transactions, categories, profile, broadcast_limit_bytes)
+    """The nine report columns, one row per group. Planning it runs no job."""
+    grouped = group_totals(transactions, categories, profile, small_categories)
     return grouped.select(
         rules.fi_code().alias("fi_code"),
         rules.report_date(F.col("date")).alias("date"),
@@ -116,9 +117,11 @@ def report_for_month(
     categories: DataFrame,
     month_end: datetime.date,
     profile: RuleProfile = AS_IMPLEMENTED,
+    small_categories: bool = False,
 ) -> DataFrame:
     """The report's rows of one month, computed from that month's input only."""
-    return monthly_report(of_month(transactions, month_end), categories, profile)
+    rows = of_month(transactions, month_end)
+    return monthly_report(rows, categories, profile, small_categories)
 
 
 def report_months(transactions: DataFrame) -> DataFrame:

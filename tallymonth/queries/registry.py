@@ -161,7 +161,10 @@ def _category_codes(rows: DataFrame) -> DataFrame:
 
 
 def merchant_category_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dimensions.with_category_code(transactions(spark, sf_dir), categories(spark, sf_dir))
+    given = categories(spark, sf_dir)
+    rows = dimensions.with_category_code(
+        transactions(spark, sf_dir), given, dimensions.fits_broadcast(given)
+    )
     return _category_codes(rows)
 
 
@@ -177,8 +180,9 @@ def merchant_category_code_shuffled(spark: SparkSession, sf_dir: str) -> DataFra
 
 def merchant_category_code_text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids met by their value, in whatever form the files hold them."""
+    given = _rough_categories(spark, sf_dir)
     rows = dimensions.with_category_code(
-        _rough_transactions(spark, sf_dir), _rough_categories(spark, sf_dir)
+        _rough_transactions(spark, sf_dir), given, dimensions.fits_broadcast(given)
     )
     return _category_codes(rows)
 
@@ -233,9 +237,9 @@ def monthly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _group_totals(profile: RuleProfile) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         amount, number = F.col("amount"), F.col("number")
-        grouped = plans.group_totals(
-            transactions(spark, sf_dir), categories(spark, sf_dir), profile
-        )
+        given = categories(spark, sf_dir)
+        small = dimensions.fits_broadcast(given)
+        grouped = plans.group_totals(transactions(spark, sf_dir), given, profile, small)
         return grouped.select(
             rules.report_date(F.col("date")).alias("date"),
             *GROUP_KEYS[1:],
@@ -273,9 +277,9 @@ def _amount_range(profile: RuleProfile) -> Query:
 
 def _report(profile: RuleProfile) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plans.monthly_report(
-            transactions(spark, sf_dir), categories(spark, sf_dir), profile
-        )
+        given = categories(spark, sf_dir)
+        small = dimensions.fits_broadcast(given)
+        return plans.monthly_report(transactions(spark, sf_dir), given, profile, small)
 
     return query
 
@@ -290,7 +294,7 @@ def report_with_large_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
         transactions(spark, sf_dir),
         large_categories(spark, sf_dir),
         AS_SPECIFIED,
-        broadcast_limit_bytes=0,
+        small_categories=False,
     )
 
 
@@ -299,8 +303,10 @@ def report_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_for_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = categories(spark, sf_dir)
+    small = dimensions.fits_broadcast(given)
     return plans.report_for_month(
-        transactions(spark, sf_dir), categories(spark, sf_dir), ONE_MONTH
+        transactions(spark, sf_dir), given, ONE_MONTH, small_categories=small
     )
 
 

@@ -42,7 +42,7 @@ def shuffles(plan: str) -> int:
 
 @pytest.mark.parametrize("profile", PROFILES, ids=lambda p: p.name)
 def test_report_takes_one_shuffle_and_two_broadcasts(stored, profile) -> None:
-    plan = plan_of(monthly_report(*stored, profile))
+    plan = plan_of(monthly_report(*stored, profile, small_categories=True))
     assert shuffles(plan) == 1
     assert len(re.findall(r"^\(\d+\) BroadcastHashJoin", plan, re.MULTILINE)) == 2
     assert "SortMergeJoin" not in plan
@@ -51,7 +51,7 @@ def test_report_takes_one_shuffle_and_two_broadcasts(stored, profile) -> None:
 
 
 def test_only_used_columns_are_read(stored) -> None:
-    plan = plan_of(monthly_report(*stored, AS_IMPLEMENTED))
+    plan = plan_of(monthly_report(*stored, AS_IMPLEMENTED, small_categories=True))
     (schema,) = re.findall(r"ReadSchema: struct<(date:[^>]*)>", plan)
     read = {column.split(":")[0] for column in schema.split(",")}
     # What only the other profile needs is not read.
@@ -68,7 +68,7 @@ def test_one_month_is_filtered_in_the_scan(stored) -> None:
 def test_large_categories_are_never_broadcast(spark, stored) -> None:
     transactions, categories = stored
     with settings(spark, autoBroadcastJoinThreshold="-1"):
-        plan = plan_of(monthly_report(transactions, categories, broadcast_limit_bytes=0))
+        plan = plan_of(monthly_report(transactions, categories, small_categories=False))
     # Only the sixteen fixed rows are broadcast; transactions are summed first.
     assert len(re.findall(r"^\(\d+\) BroadcastExchange", plan, re.MULTILINE)) == 1
     (number,) = re.findall(r"^\((\d+)\) SortMergeJoin", plan, re.MULTILINE)
@@ -77,6 +77,18 @@ def test_large_categories_are_never_broadcast(spark, stored) -> None:
     assert "Keys [5]: [date" in plan
 
 
+def test_planning_runs_no_job(spark, stored) -> None:
+    context = spark.sparkContext
+    context.setJobGroup("planning", "nothing should run")
+    for small in (True, False):
+        monthly_report(*stored, AS_SPECIFIED, small_categories=small)
+        dimensions.with_category_code(*stored, small_categories=small)
+    assert list(context.statusTracker().getJobIdsForGroup("planning")) == []
+    stored[0].count()
+    assert len(context.statusTracker().getJobIdsForGroup("planning")) > 0
+    context.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_size_check_counts_rows_and_text(spark) -> None:
     categories = categories_of(spark, [Category(n, "0742") for n in range(10)])
     size = 10 * (dimensions.ROW_OVERHEAD_BYTES + 1 + 4)
@@ -217,9 +229,9 @@ def test_a_hot_group_is_summed_before_the_shuffle(spark) -> None:
         *[field(value).alias(name) for name, value in group._asdict().items()]
     )
     rows = rows.withColumn("amount", F.lit(Decimal("0.01")).cast("decimal(18,2)"))
-    for limit in (dimensions.BROADCAST_LIMIT_BYTES, 0):
+    for small in (True, False):
         report = monthly_report(
-            rows, categories_of(spark, [Category()]), broadcast_limit_bytes=limit
+            rows, categories_of(spark, [Category()]), small_categories=small
         )
         plan = plan_of(report)
         assert plan.index("partial_sum") < plan.index("Arguments: hashpartitioning(date")

@@ -22,7 +22,7 @@ from tallymonth import (
     report_for_month,
     report_months,
 )
-from tallymonth.operators.dimensions import BROADCAST_LIMIT_BYTES, duplicate_category_ids
+from tallymonth.operators.dimensions import duplicate_category_ids
 from tallymonth.queries import fixture
 from tallymonth.schemas import REPORT, TRANSACTIONS
 from tests import model
@@ -30,15 +30,15 @@ from tests.helpers import categories_of, transactions_of
 from tests.model import Category, Transaction
 
 PROFILES = [AS_IMPLEMENTED, AS_SPECIFIED]
-BOTH_WAYS = [BROADCAST_LIMIT_BYTES, 0]
+BOTH_WAYS = [True, False]
 
 
-def reported(spark, transactions, categories, profile, limit=BROADCAST_LIMIT_BYTES) -> list:
+def reported(spark, transactions, categories, profile, small=True) -> list:
     frame = monthly_report(
         transactions_of(spark, transactions),
         categories_of(spark, categories),
         profile,
-        broadcast_limit_bytes=limit,
+        small_categories=small,
     )
     assert [(f.name, f.dataType) for f in frame.schema] == [(f.name, f.dataType) for f in REPORT]
     return [tuple(row) for row in frame.collect()]
@@ -47,8 +47,8 @@ def reported(spark, transactions, categories, profile, limit=BROADCAST_LIMIT_BYT
 def check_against_model(spark, transactions, categories) -> None:
     for profile in PROFILES:
         wanted = model.report(transactions, categories, profile is AS_SPECIFIED)
-        for limit in BOTH_WAYS:
-            rows = reported(spark, transactions, categories, profile, limit)
+        for small in BOTH_WAYS:
+            rows = reported(spark, transactions, categories, profile, small)
             assert len(rows) == len(set(rows))
             assert set(rows) == wanted
 
