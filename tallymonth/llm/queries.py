@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymonth.llm import bpe, class_lm, exact_dedup, language, mixing, sharding, simhash, token_counts, url_rules, vector_dedup
-from tallymonth.llm.common import in_fold, table
+from tallymonth.llm import (
+    bit_sliced,
+    bpe,
+    class_lm,
+    exact_dedup,
+    language,
+    mixing,
+    periodic,
+    sharding,
+    simhash,
+    token_counts,
+    url_rules,
+    vector_dedup,
+    whitening,
+)
+from tallymonth.llm.common import WORD, in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +114,52 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").filter(whitening.finite(F.col("embedding")))
+    rows = vectors.select(
+        F.col("vec_id").alias("id"), whitening.quantised(F.col("embedding")).alias("x")
+    )
+    return whitening.whiten(rows, components=8).select(
+        F.col("id").alias("vec_id"),
+        "component",
+        "n",
+        F.col("deviation").cast("long").alias("deviation"),
+        "whitened",
+        "explained",
+        "identity_error",
+    )
+
+
+def op12_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_sliced.top_k(table(spark, sf_dir, "embeddings"), divisor=50, k=5)
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth document by its id's checksum repeats some of its words."""
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", "text", crc.alias("crc"), (crc % 10 == 0).alias("planted"))
+    # Only these texts are cut into words here; the words are a column, so that this is done once.
+    words = F.when(F.col("planted"), F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
+    rows = rows.withColumn("words", words).withColumn("n", F.size("words"))
+    g = F.floor(F.col("crc") / 10)
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, g % F.col("n")).cast("int"))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8))
+    rows = rows.withColumn("p", period.cast("int"))
+    repeated = F.transform(
+        "words",
+        lambda word, i: F.when(i < F.col("a"), word).otherwise(
+            F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))
+        ),
+    )
+    text = F.when(F.col("planted") & (F.col("n") > 0), F.array_join(repeated, " "))
+    return rows.select("doc_id", F.coalesce(text, F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_periods(table(spark, sf_dir, "documents"))
+    return periodic.digests(periodic.periodic_runs(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_token_counts": op2_token_counts,
@@ -111,6 +171,9 @@ QUERIES: dict[str, Query] = {
     "op8_pivot_index": op8_pivot_index,
     "op9_simhash": op9_simhash,
     "op10_language_id": op10_language_id,
+    "op11_whitening": op11_whitening,
+    "op12_bit_sliced": op12_bit_sliced,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -157,4 +220,28 @@ ORACLE_SQL: dict[str, str] = {
             sha256(n.text) AS text_sha256
         FROM numbered n JOIN grouped g ON n.text = g.text
     """,
+    "op12_bit_sliced": """
+        WITH rows_used AS (
+            SELECT row_number() OVER () AS nth, vec_id,
+                [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+                AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ),
+        scored AS (
+            SELECT q.nth, q.vec_id AS query_id, c.vec_id,
+                CAST(coalesce(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]), 0)
+                    AS BIGINT) AS score
+            FROM rows_used q JOIN rows_used c
+                ON q.vec_id % 50 = 0 AND q.nth <> c.nth AND len(q.v) = len(c.v)
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (
+                PARTITION BY nth ORDER BY score DESC, vec_id NULLS LAST
+            ) AS place
+            FROM scored
+        )
+        SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
+        FROM ranked WHERE place <= 5
+    """,
 }

@@ -115,7 +115,7 @@ def test_recall_near_the_threshold(spark) -> None:
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_match_their_sql(spark, sf_dir, name) -> None:
     con = duckdb.connect()
-    for view in ("documents", "pages"):
+    for view in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {view} AS SELECT * FROM '{sf_dir}/{view}.parquet'")
     expected = con.sql(queries.ORACLE_SQL[name]).df()
     found = queries.QUERIES[name](spark, sf_dir).toPandas()[list(expected.columns)]
