@@ -14,17 +14,16 @@ from pyspark.sql import types as T
 
 from tallymonth.functions import rules
 from tallymonth.lookups import card_transaction_types
+from tallymonth.operators import asof, intervals
+from tallymonth.operators.spread import HOT_ROWS, MOST_HOT_KEYS
 
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 # Upper estimate of what one broadcast row takes besides its text.
 ROW_OVERHEAD_BYTES = 64
 
-# More rows of one category than a task should get; and how many such ids may be
-# broadcast with their categories.
-HOT_ROWS = 1_000_000
-MOST_HOT_IDS = 10_000
-
+# How many ids with more than ``HOT_ROWS`` rows may be broadcast with their categories.
+MOST_HOT_IDS = MOST_HOT_KEYS
 
 KEY = "category_key_lkp"
 
@@ -36,16 +35,24 @@ def _key(frame: DataFrame, name: str) -> Column:
     return rules.category_key(F.col(name))
 
 
+def category_keys(rows: DataFrame, categories: DataFrame) -> tuple[Column, Column]:
+    """The keys by which rows and categories meet."""
+    return _key(rows, "merchant_category_id"), _key(categories, "id")
+
+
 def _keyed(categories: DataFrame) -> DataFrame:
     return categories.select(_key(categories, "id").alias(KEY), "code")
 
 
-def fits_broadcast(categories: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
-    """Measure the merchant categories: one distributed sum, one number back."""
-    text_bytes = [
-        F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) for name in ("id", "code")
-    ]
-    row_bytes = F.lit(ROW_OVERHEAD_BYTES) + text_bytes[0] + text_bytes[1]
+def fits_broadcast(
+    categories: DataFrame,
+    columns: tuple[str, ...] = ("id", "code"),
+    limit_bytes: int = BROADCAST_LIMIT_BYTES,
+) -> bool:
+    """Measure a table by its text columns: one distributed sum, one number back."""
+    row_bytes = F.lit(ROW_OVERHEAD_BYTES)
+    for name in columns:
+        row_bytes += F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
     measured = categories.agg(F.sum(row_bytes).alias("bytes")).first()["bytes"]
     return (measured or 0) <= limit_bytes
 
@@ -114,6 +121,39 @@ def with_category_code(
     return with_category_code_shuffled(rows, categories)
 
 
+def with_category_code_as_of(
+    rows: DataFrame,
+    versions: DataFrame,
+    at: str = "date",
+    small_versions: bool = False,
+    hot_rows: int = HOT_ROWS,
+    most_hot_ids: int = MOST_HOT_IDS,
+) -> DataFrame:
+    """Add ``code`` of the category version (id, code, valid_from) in force at ``at``.
+
+    A version holds from ``valid_from`` on until the next of its id, also one without a code; see
+    :func:`asof.as_of`.
+    """
+    keys = category_keys(rows, versions)
+    return asof.as_of(
+        rows, versions, keys, at, "valid_from", ["code"], small_versions, hot_rows, most_hot_ids
+    )
+
+
+def with_fee_periods(
+    rows: DataFrame,
+    periods: DataFrame,
+    small_periods: bool = False,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Each row once for every fee period (id, fee_code, rate, starts, ends) of its category
+    that holds its date; see :func:`intervals.interval_join`."""
+    keys = category_keys(rows, periods)
+    return intervals.interval_join(
+        rows, periods, keys, "date", ("starts", "ends"), ["fee_code", "rate"], small_periods, hot_rows
+    )
+
+
 def duplicate_category_ids(categories: DataFrame) -> DataFrame:
     """Ids that would repeat transactions and so inflate their totals."""
     return (

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymonth.functions import rules
 from tallymonth.operators import dimensions
+from tallymonth.operators.spread import HOT_ROWS
 from tallymonth.operators.totals import merged_totals, totals
 from tallymonth.profiles import AS_IMPLEMENTED, RuleProfile
-from tallymonth.schemas import GROUP_KEYS, REPORT
+from tallymonth.schemas import GROUP_KEYS, ID_KEYS, REPORT
 
 
-def classified(transactions: DataFrame, profile: RuleProfile) -> DataFrame:
-    """Everything a transaction's group depends on, except its category code.
+def classified(
+    transactions: DataFrame, profile: RuleProfile, also: dict[str, Column] | None = None
+) -> DataFrame:
+    """Everything a transaction's group depends on, except its category code; and the
+    columns of the transactions that ``also`` names.
 
     ``date`` stays a date until after the aggregation: four bytes in the key
     instead of ten characters, and one formatting per group, not per row.
@@ -42,10 +46,11 @@ def classified(transactions: DataFrame, profile: RuleProfile) -> DataFrame:
         ),
         "merchant_category_id",
         "amount",
+        *[column.alias(name) for name, column in (also or {}).items()],
     )
 
 
-def _with_merchant_category(rows: DataFrame, profile: RuleProfile) -> DataFrame:
+def with_merchant_category(rows: DataFrame, profile: RuleProfile) -> DataFrame:
     code = rules.merchant_category_code(
         F.col("service_system_type"), F.col("code"), profile.blank_category_code_is_missing
     )
@@ -72,12 +77,30 @@ def group_totals(
     rows = classified(transactions, profile)
     if small_categories:
         coded = dimensions.with_category_code_broadcast(rows, categories)
-        return totals(_with_merchant_category(coded, profile), GROUP_KEYS, profile)
+        return totals(with_merchant_category(coded, profile), GROUP_KEYS, profile)
 
-    id_keys = [key for key in GROUP_KEYS if key != "merchant_category_code"]
-    parts = totals(rows, [*id_keys, "merchant_category_id"], profile)
+    parts = totals(rows, [*ID_KEYS, "merchant_category_id"], profile)
     coded = dimensions.join_category_code(parts, categories.hint("merge"))
-    return merged_totals(_with_merchant_category(coded, profile), GROUP_KEYS)
+    return merged_totals(with_merchant_category(coded, profile), GROUP_KEYS)
+
+
+def group_totals_as_of(
+    transactions: DataFrame,
+    versions: DataFrame,
+    profile: RuleProfile = AS_IMPLEMENTED,
+    small_versions: bool = False,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``group_totals`` with the category codes that were in force on each day.
+
+    ``versions`` has id, code and valid_from; see :func:`dimensions.with_category_code_as_of`.
+    The transactions are summed per category id and day first, so that the as-of
+    join moves sums.
+    """
+    rows = classified(transactions, profile, {"day": F.col("date")})
+    parts = totals(rows, [*ID_KEYS, "merchant_category_id", "day"], profile)
+    coded = dimensions.with_category_code_as_of(parts, versions, "day", small_versions, hot_rows)
+    return merged_totals(with_merchant_category(coded, profile), GROUP_KEYS)
 
 
 def monthly_report(
@@ -87,7 +110,11 @@ def monthly_report(
     small_categories: bool = False,
 ) -> DataFrame:
     """The nine report columns, one row per group. Planning it runs no job."""
-    grouped = group_totals(transactions, categories, profile, small_categories)
+    return as_report(group_totals(transactions, categories, profile, small_categories), profile)
+
+
+def as_report(grouped: DataFrame, profile: RuleProfile) -> DataFrame:
+    """The report columns of group totals."""
     return grouped.select(
         rules.fi_code().alias("fi_code"),
         rules.report_date(F.col("date")).alias("date"),

@@ -8,6 +8,9 @@ occurs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallymonth.sources.nested import nested_payments
 
 # The columns used; with them given, opening a table runs no job.
 TABLES = {
@@ -82,6 +85,27 @@ LARGE_CATEGORY_COLUMNS = [
         THEN lpad(CAST(p_partkey % 10000 AS STRING), 4, '0') END AS code""",
 ]
 
+# Codes that change over time: several versions an id, some on one day, some without a code or
+# a start, and one id in eleven that is never used.
+DATED_CATEGORY_COLUMNS = [
+    "CAST(p_partkey % 34 AS INT) AS id",
+    """CASE WHEN p_partkey % 9 <> 8
+        THEN lpad(CAST(p_partkey % 10000 AS STRING), 4, '0') END AS code""",
+    """CASE WHEN p_partkey % 200 <> 7
+        THEN date_add(DATE'1992-06-01', CAST((p_partkey * 37) % 2200 AS INT)) END AS valid_from""",
+]
+
+# Fee periods of any length that overlap, touch, have no start or no end, or are empty.
+FEE_PERIOD_COLUMNS = [
+    "CAST(s_suppkey % 33 AS INT) AS id",
+    "concat('fee', CAST(s_suppkey % 7 AS STRING)) AS fee_code",
+    "CAST((s_suppkey % 50) / 1000 AS DECIMAL(6,4)) AS rate",
+    """CASE WHEN s_suppkey % 13 <> 0
+        THEN date_add(DATE'1992-01-01', CAST((s_suppkey * 53) % 2500 AS INT)) END AS starts""",
+    """CASE WHEN s_suppkey % 11 <> 0 THEN date_add(DATE'1992-01-01',
+        CAST((s_suppkey * 53) % 2500 + power(s_suppkey % 10, 3) - 1 AS INT)) END AS ends""",
+]
+
 # As a file may hold them: amounts finer than cents, ids beyond 32 bits, with idle zeros or
 # letters, and malformed dates and amounts.
 ROUGH_TRANSACTION_COLUMNS = [
@@ -118,8 +142,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The transactions, read from lineitem, orders, customer and part.
+# Items as a payment system sends them, in text; some amounts cannot be read.
+PAYMENT_COLUMNS = [
+    "l_orderkey AS payment_id",
+    "l_linenumber AS place",
+    """CASE WHEN o_orderkey % 40 = 3 THEN date_format(o_orderdate, 'dd/MM/yyyy')
+        ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS date""",
+    "CASE WHEN l_suppkey % 20 = 7 THEN concat(CAST(amount AS STRING), 'x') ELSE CAST(amount AS STRING) END AS amount",
+    "payment_method",
+    "CAST(merchant_category_id AS STRING) AS merchant_category_id",
+    "card_type",
+    "card_brand",
+    "card_country_issuer_code",
+    "backend_name",
+]
+
+
+def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested payments, one per order with its line items; orders without any among them."""
+    more = ["l_orderkey", "l_linenumber", "l_suppkey", "o_orderkey", "o_orderdate"]
+    items = transactions(spark, sf_dir, *more).selectExpr(*PAYMENT_COLUMNS)
+    sold = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    empty = orders.join(sold, orders["o_orderkey"] == sold["l_orderkey"], "left_anti").selectExpr(
+        "o_orderkey AS payment_id", "CAST(CAST(o_orderdate AS DATE) AS STRING) AS date"
+    )
+    every = items.unionByName(empty, allowMissingColumns=True)
+    return nested_payments(every, F.col("payment_id"), F.col("place"))
+
+
+def transactions(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """The transactions, read from lineitem, orders, customer and part; ``more`` names columns
+    of these tables.
 
     Orders meet their customers before they meet the line items, so the customer
     join moves orders only. No side is bounded at scale, so none is hinted: the
@@ -131,7 +185,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
     sold = items.join(parts, items["l_partkey"] == parts["p_partkey"])
     rows = sold.join(placed, items["l_orderkey"] == orders["o_orderkey"])
-    return rows.selectExpr(*TRANSACTION_COLUMNS)
+    return rows.selectExpr(*TRANSACTION_COLUMNS, *more)
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,6 +198,16 @@ def large_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(*LARGE_CATEGORY_COLUMNS)
 
 
+def dated_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of merchant categories (id, code, valid_from), as many as parts."""
+    return table(spark, sf_dir, "part").selectExpr(*DATED_CATEGORY_COLUMNS)
+
+
+def fee_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periods (id, fee_code, rate, starts, ends), as many as suppliers."""
+    return table(spark, sf_dir, "supplier").selectExpr(*FEE_PERIOD_COLUMNS)
+
+
 def rough_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions as text with every fault a file may have, one per line item."""
     return table(spark, sf_dir, "lineitem").selectExpr(*ROUGH_TRANSACTION_COLUMNS)

@@ -62,6 +62,46 @@ _LARGE_MCC = """mcc AS (
   FROM part
 )"""
 
+_DATED_MCC = """dated AS (
+  SELECT CAST(p_partkey % 34 AS INTEGER) AS id,
+    CASE WHEN p_partkey % 9 <> 8
+         THEN lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') END AS code,
+    CASE WHEN p_partkey % 200 <> 7
+         THEN DATE '1992-06-01' + CAST((p_partkey * 37) % 2200 AS INTEGER) END AS valid_from
+  FROM part
+),
+versions AS (
+  SELECT id, coalesce(valid_from, DATE '0001-01-01') AS starts, max(code) AS code
+  FROM dated GROUP BY 1, 2
+)"""
+
+_FEES = """fee_periods AS (
+  SELECT CAST(s_suppkey % 33 AS INTEGER) AS id,
+    'fee' || CAST(s_suppkey % 7 AS VARCHAR) AS fee_code,
+    CAST((s_suppkey % 50) / 1000 AS DECIMAL(6,4)) AS rate,
+    CASE WHEN s_suppkey % 13 <> 0
+         THEN DATE '1992-01-01' + CAST((s_suppkey * 53) % 2500 AS INTEGER) END AS starts,
+    CASE WHEN s_suppkey % 11 <> 0
+         THEN DATE '1992-01-01'
+           + CAST((s_suppkey * 53) % 2500 + power(s_suppkey % 10, 3) - 1 AS INTEGER) END AS ends
+  FROM supplier
+)"""
+
+_FEE_JOIN = """tx t JOIN fee_periods f ON t.merchant_category_id = f.id
+  AND (f.starts IS NULL OR f.starts <= t.date) AND (f.ends IS NULL OR t.date < f.ends)
+  AND (f.starts < f.ends OR f.starts IS NULL OR f.ends IS NULL)"""
+
+# The code in force on the day of each transaction, by DuckDB's own as-of join.
+_AS_OF = """SELECT t.date, t.amount, t.merchant_category_id, v.code
+FROM tx t ASOF LEFT JOIN versions v
+  ON t.merchant_category_id = v.id AND t.date >= v.starts"""
+
+# Transactions with the keys of their order and customer.
+_KEYED_TX = _TX.replace(
+    "SELECT CAST(o.o_orderdate",
+    "SELECT l.l_orderkey, l.l_suppkey, o.o_orderkey, o.o_custkey, CAST(o.o_orderdate",
+)
+
 # As the reader is to give them: malformed dates and amounts are null, ids as they stand.
 _ROUGH_TX = """rough AS (
   SELECT l_suppkey, l_linenumber,
@@ -255,6 +295,115 @@ def _first_rows(table: str, source: str, columns: str) -> str:
     return _with(source, select=f"SELECT {columns} FROM {table} ORDER BY {order} LIMIT 5")
 
 
+def _reconciliation() -> str:
+    keys = [key.strip() for key in _KEYS.split(",")]
+    same = " AND ".join(f"a.{key} IS NOT DISTINCT FROM b.{key}" for key in keys)
+    merged = ", ".join(f"CASE WHEN a.n IS NULL THEN b.{key} ELSE a.{key} END AS {key}" for key in keys)
+    return f"""SELECT {merged}, coalesce(a.n, 0) AS left_rows, coalesce(b.n, 0) AS right_rows,
+  a.amount AS left_amount, b.amount AS right_amount,
+  coalesce(a.number, 0) AS left_number, coalesce(b.number, 0) AS right_number,
+  CAST(coalesce(b.amount, 0) - coalesce(a.amount, 0) AS DECIMAL(34,2)) AS amount_difference,
+  coalesce(b.number, 0) - coalesce(a.number, 0) AS number_difference,
+  CASE WHEN b.n IS NULL THEN 'left only' WHEN a.n IS NULL THEN 'right only'
+       WHEN a.amount IS NOT DISTINCT FROM b.amount AND a.number = b.number THEN 'equal'
+       ELSE 'differs' END AS status
+FROM (SELECT *, 1::BIGINT AS n FROM ({_report("implemented")})) AS a
+FULL OUTER JOIN (SELECT *, 1::BIGINT AS n FROM ({_report("specified")})) AS b ON {same}"""
+
+
+def _row_differences() -> str:
+    left, right = _report("implemented"), _report("specified")
+    sides = [
+        f"""SELECT *, '{name}' AS side, count(*) AS times
+FROM (SELECT * FROM ({a}) AS a EXCEPT ALL SELECT * FROM ({b}) AS b) AS more GROUP BY ALL"""
+        for name, a, b in (("left", left, right), ("right", right, left))
+    ]
+    return " UNION ALL ".join(sides)
+
+
+def _subtotals() -> str:
+    return _with(
+        _TX,
+        _MCC,
+        _TABLES,
+        _ENRICHED,
+        f"""grouped AS (
+  SELECT month_end AS date, service_system_type, transaction_type_specified AS transaction_type,
+    merchant_business_type, merchant_category_code,
+    CAST(grouping(month_end, service_system_type, transaction_type_specified,
+      merchant_business_type, merchant_category_code) AS BIGINT) AS level,
+    CAST(sum(amount) AS DECIMAL(34,2)) AS amount, count(*) AS number
+  FROM enriched GROUP BY ROLLUP (month_end, service_system_type, transaction_type_specified,
+    merchant_business_type, merchant_category_code)
+)""",
+        select=f"""SELECT {_KEYS}, level, amount, number,
+  CAST({_AVERAGE} AS DECIMAL(20,2)) AS average_amount FROM grouped""",
+    )
+
+
+# Calendar months are made from all months there are, by a plain join of months and keys.
+_TRAILING_YEAR = _with(
+    _TX,
+    """totals AS (
+  SELECT date_trunc('month', date) AS month, merchant_category_id, payment_method,
+    sum(amount) AS amount, count(*) AS number
+  FROM tx WHERE date IS NOT NULL GROUP BY 1, 2, 3
+)""",
+    """bounds AS (
+  SELECT merchant_category_id, payment_method, min(month) AS low, max(month) AS high
+  FROM totals GROUP BY 1, 2
+)""",
+    """months AS (
+  SELECT b.merchant_category_id, b.payment_method,
+    unnest(generate_series(CAST(b.low AS TIMESTAMP),
+      CAST(b.high + INTERVAL 11 MONTH AS TIMESTAMP), INTERVAL 1 MONTH)) AS month
+  FROM bounds b
+)""",
+    """filled AS (
+  SELECT m.month, m.merchant_category_id, m.payment_method,
+    coalesce(t.amount, 0) AS amount, coalesce(t.number, 0) AS number
+  FROM months m LEFT JOIN totals t ON t.month = m.month
+    AND t.merchant_category_id IS NOT DISTINCT FROM m.merchant_category_id
+    AND t.payment_method IS NOT DISTINCT FROM m.payment_method
+)""",
+    select="""SELECT strftime(last_day(CAST(f.month AS DATE)), '%Y-%m-%d') AS date,
+  f.merchant_category_id, f.payment_method,
+  CAST(f.amount AS DECIMAL(34,2)) AS amount, CAST(f.number AS BIGINT) AS number,
+  CAST(sum(f.amount) OVER year_back AS DECIMAL(34,2)) AS trailing_amount,
+  CAST(sum(f.number) OVER year_back AS BIGINT) AS trailing_number
+FROM filled f
+WINDOW year_back AS (PARTITION BY merchant_category_id, payment_method ORDER BY month
+  RANGE BETWEEN INTERVAL 11 MONTH PRECEDING AND CURRENT ROW)""",
+)
+
+_SERVICE_TYPE = """LEFT JOIN service_types s ON t.payment_method = s.payment_method"""
+
+
+def _customers(until: str) -> str:
+    return _with(
+        _KEYED_TX,
+        _TABLES,
+        select=f"""SELECT strftime({until}, '%Y-%m-%d') AS date,
+  coalesce(s.service_system_type, '') AS service_system_type,
+  count(DISTINCT t.o_custkey) AS customers
+FROM tx t {_SERVICE_TYPE} WHERE t.date IS NOT NULL GROUP BY 1, 2""",
+    )
+
+
+_QUARTER_END = "last_day(CAST(date_trunc('quarter', t.date) + INTERVAL 2 MONTH AS DATE))"
+
+# Items as they come back: unreadable dates and amounts are null, orders without items one row.
+_ITEMS = f"""items AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS payment_id,
+    CASE WHEN o_orderkey % 40 <> 3 THEN date END AS date,
+    CASE WHEN l_suppkey % 20 <> 7 THEN CAST(amount AS DECIMAL(28,6)) END AS amount,
+    payment_method, card_type, card_brand, card_country_issuer_code, backend_name,
+    CAST(merchant_category_id AS VARCHAR) AS merchant_category_id,
+    CASE WHEN o_orderkey % 40 = 3 THEN strftime(date, '%d/%m/%Y') END AS bad_date,
+    CASE WHEN l_suppkey % 20 = 7 THEN CAST(amount AS VARCHAR) || 'x' END AS bad_amount
+  FROM tx
+)"""
+
 _MONTHS = _with(
     _TX, select="SELECT DISTINCT strftime(last_day(date), '%Y-%m-%d') AS date FROM tx"
 )
@@ -329,6 +478,33 @@ FROM rough LEFT JOIN rough_mcc ON l_suppkey = s_suppkey""",
         _LARGE_MCC,
         select="""SELECT CAST(id AS VARCHAR) AS id, count(*) AS occurrences FROM mcc
 WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1""",
+    ),
+    "category_code_as_of": _with(_TX, _DATED_MCC, select=_AS_OF),
+    "category_code_as_of_sorted": _with(_TX, _DATED_MCC, select=_AS_OF),
+    # The versions' code in place of the category's; every other rule as in the report.
+    "report_with_dated_categories": _report("specified", mcc=_DATED_MCC).replace(
+        "LEFT JOIN mcc m ON t.merchant_category_id = m.id",
+        """ASOF LEFT JOIN versions m
+    ON t.merchant_category_id = m.id AND t.date >= m.starts""",
+    ),
+    "fee_period_join": _with(
+        _TX,
+        _FEES,
+        select=f"""SELECT t.date, t.amount, t.merchant_category_id, f.fee_code, f.rate
+FROM {_FEE_JOIN}""",
+    ),
+    "fee_period_join_shuffled": _with(
+        _TX,
+        _FEES,
+        select=f"""SELECT t.date, t.amount, t.merchant_category_id, f.fee_code, f.rate
+FROM {_FEE_JOIN}""",
+    ),
+    "fee_totals": _with(
+        _TX,
+        _FEES,
+        select=f"""SELECT strftime(last_day(t.date), '%Y-%m-%d') AS date, f.fee_code,
+  CAST(sum(round(t.amount * f.rate, 2)) AS DECIMAL(34,2)) AS fees, count(*) AS records
+FROM {_FEE_JOIN} GROUP BY 1, 2""",
     ),
     "monthly_totals": _with(
         _TX,
@@ -363,4 +539,55 @@ UNION ALL SELECT 'merchant_categories', count(*) FROM mcc""",
     "report_csv_roundtrip": _read_back("implemented"),
     "report_csv_roundtrip_as_specified": _read_back("specified"),
     "report_csv_plain_roundtrip": _read_back("implemented"),
+    "report_streamed": _read_back("implemented"),
+    "report_reconciliation": _reconciliation(),
+    "report_row_differences": _row_differences(),
+    "report_subtotals": _subtotals(),
+    "trailing_year": _TRAILING_YEAR,
+    "top_categories_of_month": _with(
+        _TX,
+        """totals AS (
+  SELECT strftime(last_day(date), '%Y-%m-%d') AS date, merchant_category_id,
+    CAST(sum(amount) AS DECIMAL(34,2)) AS amount, count(*) AS number
+  FROM tx WHERE date IS NOT NULL GROUP BY 1, 2
+)""",
+        select="""SELECT date, merchant_category_id, amount, number, place FROM (
+  SELECT *, CAST(rank() OVER (PARTITION BY date ORDER BY amount DESC NULLS LAST) AS INTEGER) AS place
+  FROM totals) AS ranked WHERE place <= 3""",
+    ),
+    "customers_of_month": _customers("last_day(t.date)"),
+    "customers_of_quarter": _customers(_QUARTER_END),
+    "customers_of_quarter_from_sketches": f"""SELECT date, service_system_type, customers,
+  true AS close, true AS bounded FROM ({_customers(_QUARTER_END)}) AS exact""",
+    "unmatched_category_ids": _with(
+        _TX,
+        _MCC,
+        select="""SELECT CAST(t.merchant_category_id AS VARCHAR) AS id,
+  CASE WHEN t.merchant_category_id IS NULL THEN 'missing id'
+       WHEN m.id IS NULL THEN 'unknown id' ELSE 'without code' END AS reason,
+  count(*) AS records, CAST(sum(t.amount) AS DECIMAL(34,2)) AS amount
+FROM tx t LEFT JOIN mcc m ON t.merchant_category_id = m.id
+WHERE m.code IS NULL GROUP BY 1, 2""",
+    ),
+    "unused_merchant_categories": _with(
+        _TX,
+        _LARGE_MCC,
+        select="""SELECT id, code FROM mcc
+WHERE NOT EXISTS (SELECT 1 FROM tx WHERE tx.merchant_category_id = mcc.id)""",
+    ),
+    "nested_payment_items": _with(
+        _KEYED_TX,
+        _ITEMS,
+        select=f"""SELECT payment_id, {_TX_COLUMNS} FROM items
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), CAST(o_orderdate AS DATE), NULL, NULL, NULL, NULL,
+  NULL, NULL, NULL
+FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
+    ),
+    "nested_rejected_items": _with(
+        _KEYED_TX,
+        _ITEMS,
+        select="""SELECT payment_id, 'amount' AS field, bad_amount AS value FROM items
+WHERE bad_amount IS NOT NULL
+UNION ALL SELECT DISTINCT payment_id, 'date', bad_date FROM items WHERE bad_date IS NOT NULL""",
+    ),
 }

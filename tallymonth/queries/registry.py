@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymonth import scratch
@@ -13,11 +13,16 @@ from tallymonth.functions import rules
 from tallymonth.lookups import card_transaction_types
 from tallymonth.operators import dimensions
 from tallymonth.operators.totals import totals
+from tallymonth.operators.unmatched import unmatched_ids, unused_categories
+from tallymonth.plans import compare, customers, rollup, trends
 from tallymonth.plans import report as plans
 from tallymonth.profiles import AS_IMPLEMENTED, AS_SPECIFIED, RuleProfile
 from tallymonth.queries.fixture import (
     categories,
+    dated_categories,
+    fee_periods,
     large_categories,
+    payments,
     rough_categories,
     rough_transactions,
     transactions,
@@ -25,6 +30,8 @@ from tallymonth.queries.fixture import (
 from tallymonth.schemas import GROUP_KEYS
 from tallymonth.sinks import files as sinks
 from tallymonth.sources import files as sources
+from tallymonth.sources import nested
+from tallymonth.streaming import monthly as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -217,6 +224,69 @@ def mcc_duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.duplicate_category_ids(large_categories(spark, sf_dir))
 
 
+# Lookups by time
+
+
+# Few enough for the tables used to hold ids beyond it, at any scale.
+FEW_HOT_ROWS = 500
+
+
+def category_code_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The category code in force on each transaction's date, versions broadcast if they fit."""
+    versions = dated_categories(spark, sf_dir)
+    rows = transactions(spark, sf_dir).select("date", "amount", "merchant_category_id")
+    small = dimensions.fits_broadcast(versions)
+    return dimensions.with_category_code_as_of(rows, versions, small_versions=small)
+
+
+def category_code_as_of_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way taken with too many versions to broadcast, and ids that are cut by time."""
+    rows = transactions(spark, sf_dir).select("date", "amount", "merchant_category_id")
+    return dimensions.with_category_code_as_of(
+        rows, dated_categories(spark, sf_dir), hot_rows=FEW_HOT_ROWS
+    )
+
+
+def report_with_dated_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report with the codes that were in force on each transaction's date."""
+    grouped = plans.group_totals_as_of(
+        transactions(spark, sf_dir), dated_categories(spark, sf_dir), AS_SPECIFIED
+    )
+    return plans.as_report(grouped, AS_SPECIFIED)
+
+
+def _fees(spark: SparkSession, sf_dir: str, **options: object) -> DataFrame:
+    rows = transactions(spark, sf_dir).select("date", "amount", "merchant_category_id")
+    return dimensions.with_fee_periods(rows, fee_periods(spark, sf_dir), **options)
+
+
+def fee_period_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transaction with every fee period of its category that holds its date."""
+    small = dimensions.fits_broadcast(fee_periods(spark, sf_dir), ("id", "fee_code"))
+    return _fees(spark, sf_dir, small_periods=small)
+
+
+def fee_period_join_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way taken with too many periods to broadcast, and bins that are dealt out."""
+    return _fees(spark, sf_dir, hot_rows=FEW_HOT_ROWS)
+
+
+def fee_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fees per month and fee code, each fee rounded to cents."""
+    fee = F.round(F.col("amount") * F.col("rate"), 2)
+    grouped = (
+        fee_period_join(spark, sf_dir)
+        .groupBy(rules.month_end(F.col("date")).alias("month"), "fee_code")
+        .agg(F.sum(fee).alias("fees"), F.count("*").alias("records"))
+    )
+    return grouped.select(
+        rules.report_date(F.col("month")).alias("date"),
+        "fee_code",
+        F.col("fees").cast("decimal(34,2)").alias("fees"),
+        "records",
+    )
+
+
 # Totals
 
 
@@ -330,6 +400,139 @@ def mcc_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.preview(categories(spark, sf_dir))
 
 
+# Nested payments
+
+
+def _stored_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch.new_directory(spark, "payments")
+    nested.write_payments(payments(spark, sf_dir), path)
+    return nested.read_payments(spark, path)
+
+
+def nested_payment_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of payments written as JSON lines and read back; their numbers left out, as
+    line numbers repeat in the given tables."""
+    return nested.payment_items(_stored_payments(spark, sf_dir)).drop("item")
+
+
+def nested_rejected_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested.rejected_items(_stored_payments(spark, sf_dir)).drop("item")
+
+
+# Stream
+
+
+FILES, FILES_A_BATCH = 6, 2
+
+
+def report_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly files as a stream of transaction files leaves them, three batches later.
+
+    Every file holds transactions of all months, so each batch corrects all of them.
+    """
+    inputs, state, output, checkpoint = (
+        scratch.new_directory(spark, f"stream-{name}")
+        for name in ("transactions", "state", "report", "checkpoint")
+    )
+    rows = transactions(spark, sf_dir)
+    rows.repartition(FILES).write.option("header", True).csv(inputs)
+    sink = streaming.MonthlyReportSink(categories(spark, sf_dir), output, state, compact_every=2)
+    stream = streaming.read_transaction_stream(spark, inputs, FILES_A_BATCH)
+    streaming.start_monthly_report(stream, sink, checkpoint, once=True).awaitTermination()
+    return sinks.read_monthly_files(spark, output)
+
+
+# Comparisons, subtotals and trends
+
+
+def report_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the two rule profiles make different, group by group."""
+    return compare.reconciled(
+        report_as_implemented(spark, sf_dir), report_as_specified(spark, sf_dir)
+    )
+
+
+def report_row_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.row_differences(
+        report_as_implemented(spark, sf_dir), report_as_specified(spark, sf_dir)
+    )
+
+
+def report_subtotals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = categories(spark, sf_dir)
+    small = dimensions.fits_broadcast(given)
+    return rollup.subtotals(
+        transactions(spark, sf_dir), given, AS_SPECIFIED, small_categories=small
+    )
+
+
+def trailing_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve-month totals of each category id and payment method."""
+    keys = {name: F.col(name) for name in ("merchant_category_id", "payment_method")}
+    return trends.trailing_totals(transactions(spark, sf_dir), keys)
+
+
+def top_categories_of_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = {"merchant_category_id": F.col("merchant_category_id")}
+    return trends.top_of_month(transactions(spark, sf_dir), keys)
+
+
+# Customers
+
+
+def _by_service_type() -> dict[str, Column]:
+    return {"service_system_type": rules.service_system_type(F.col("payment_method"))}
+
+
+def customers_of_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = transactions(spark, sf_dir, "o_custkey")
+    return customers.customers_exactly(rows, _by_service_type(), "o_custkey")
+
+
+def customers_of_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = transactions(spark, sf_dir, "o_custkey")
+    return customers.customers_exactly(rows, _by_service_type(), "o_custkey", quarters=True)
+
+
+def customers_of_quarter_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact number of customers, whether the estimate from monthly sketches is within its
+    stated error, and whether the sketch is within its stated size."""
+    rows = transactions(spark, sf_dir, "o_custkey")
+    path = scratch.new_directory(spark, "sketches")
+    customers.customer_sketches(rows, _by_service_type(), "o_custkey").write.parquet(path)
+    names = list(_by_service_type())
+    quarters = customers.merged_by_quarter(spark.read.parquet(path), names)
+    estimates = customers.estimated(quarters, names).withColumnRenamed("customers", "estimate")
+    sizes = quarters.select(
+        rules.report_date(F.col("month")).alias("date"),
+        *names,
+        (F.octet_length("sketch") <= customers.MOST_SKETCH_BYTES).alias("bounded"),
+    )
+    exact = customers.customers_exactly(rows, _by_service_type(), "o_custkey", quarters=True)
+    keys = ["date", *names]
+    off = F.abs(F.col("estimate") - F.col("customers"))
+    close = off <= F.col("customers") * customers.relative_error()
+    return exact.join(estimates, keys).join(sizes, keys).select(
+        *keys, "customers", close.alias("close"), "bounded"
+    )
+
+
+# Ids without a match
+
+
+def unmatched_category_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = categories(spark, sf_dir)
+    rows = transactions(spark, sf_dir)
+    found = unmatched_ids(rows, given, dimensions.category_keys(rows, given))
+    return found.withColumn("amount", rules.total_amount(F.col("amount")))
+
+
+def unused_merchant_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = large_categories(spark, sf_dir)
+    rows = transactions(spark, sf_dir)
+    return unused_categories(rows, given, dimensions.category_keys(rows, given))
+
+
 # Sinks
 
 
@@ -373,6 +576,12 @@ QUERIES: dict[str, Query] = {
     "transaction_type": _transaction_type(AS_IMPLEMENTED),
     "transaction_type_as_specified": _transaction_type(AS_SPECIFIED),
     "mcc_duplicate_ids": mcc_duplicate_ids,
+    "category_code_as_of": category_code_as_of,
+    "category_code_as_of_sorted": category_code_as_of_sorted,
+    "report_with_dated_categories": report_with_dated_categories,
+    "fee_period_join": fee_period_join,
+    "fee_period_join_shuffled": fee_period_join_shuffled,
+    "fee_totals": fee_totals,
     "monthly_totals": monthly_totals,
     "group_totals": _group_totals(AS_IMPLEMENTED),
     "group_totals_as_specified": _group_totals(AS_SPECIFIED),
@@ -391,4 +600,17 @@ QUERIES: dict[str, Query] = {
     "report_csv_roundtrip": _csv_roundtrip(AS_IMPLEMENTED),
     "report_csv_roundtrip_as_specified": _csv_roundtrip(AS_SPECIFIED),
     "report_csv_plain_roundtrip": report_csv_plain_roundtrip,
+    "report_streamed": report_streamed,
+    "report_reconciliation": report_reconciliation,
+    "report_row_differences": report_row_differences,
+    "report_subtotals": report_subtotals,
+    "trailing_year": trailing_year,
+    "top_categories_of_month": top_categories_of_month,
+    "customers_of_month": customers_of_month,
+    "customers_of_quarter": customers_of_quarter,
+    "customers_of_quarter_from_sketches": customers_of_quarter_from_sketches,
+    "unmatched_category_ids": unmatched_category_ids,
+    "unused_merchant_categories": unused_merchant_categories,
+    "nested_payment_items": nested_payment_items,
+    "nested_rejected_items": nested_rejected_items,
 }

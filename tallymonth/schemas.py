@@ -46,6 +46,9 @@ GROUP_KEYS = [
     "merchant_category_code",
 ]
 
+# The group keys that are known before the category is looked up.
+ID_KEYS = [key for key in GROUP_KEYS if key != "merchant_category_code"]
+
 REPORT = T.StructType(
     [
         T.StructField("fi_code", T.StringType()),

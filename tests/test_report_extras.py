@@ -1,0 +1,318 @@
+"""Reconciliation, subtotals, trends, customers, unmatched ids and nested payments."""
+
+from __future__ import annotations
+
+import datetime
+import random
+import re
+from collections import Counter, defaultdict
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallymonth import AS_IMPLEMENTED, AS_SPECIFIED, monthly_report
+from tallymonth.operators import dimensions, unmatched
+from tallymonth.plans import compare, customers, rollup, trends
+from tallymonth.queries import fixture
+from tallymonth.queries.registry import QUERIES
+from tallymonth.schemas import REPORT, TRANSACTIONS
+from tallymonth.sources import nested
+from tests.helpers import categories_of, plan_of, transactions_of
+from tests.model import Category, Transaction
+
+# Reconciliation
+
+
+def report_rows(spark, rows: list):
+    full = [("42", date, "CPF", kind, "", code, None if amount is None else Decimal(amount), number, "x")
+            for date, kind, code, amount, number in rows]
+    return spark.createDataFrame(full, REPORT)
+
+
+def test_reconciliation_knows_nulls_one_sided_groups_and_repeats(spark) -> None:
+    left = report_rows(spark, [
+        ("2018-01-31", "a", None, "5.00", 2), ("2018-01-31", "b", "1", "1.00", 1), (None, "a", "1", None, 0),
+        ("2018-01-31", "r", "1", "2.00", 1), ("2018-01-31", "r", "1", "2.00", 1), ("2018-01-31", "z", "1", None, 0),
+    ])
+    right = report_rows(spark, [
+        ("2018-01-31", "a", None, "7.50", 3), ("2018-01-31", "c", "1", "1.00", 1), (None, "a", "1", None, 0),
+        ("2018-01-31", "r", "1", "4.00", 2), ("2018-01-31", "z", "1", "0.00", 0),
+    ])
+    found = {(r.date, r.transaction_type): r for r in compare.reconciled(left, right).collect()}
+    assert len(found) == 6
+    status = {key: (r.status, r.left_rows, r.right_rows, r.amount_difference, r.number_difference) for key, r in found.items()}
+    assert status == {
+        ("2018-01-31", "a"): ("differs", 1, 1, Decimal("2.50"), 1),
+        ("2018-01-31", "b"): ("left only", 1, 0, Decimal("-1.00"), -1),
+        ("2018-01-31", "c"): ("right only", 0, 1, Decimal("1.00"), 1),
+        (None, "a"): ("equal", 1, 1, Decimal("0.00"), 0),
+        ("2018-01-31", "r"): ("differs", 2, 1, Decimal("0.00"), 0),
+        ("2018-01-31", "z"): ("differs", 1, 1, Decimal("0.00"), 0),
+    }
+    assert found["2018-01-31", "z"].left_amount is None
+    assert compare.reconciled(left.limit(0), right.limit(0)).count() == 0
+    clashing = left.withColumn("side", F.lit("x")).withColumn("row", F.lit("y"))
+    assert compare.reconciled(clashing, right, ["date"]).count() == 2
+
+
+def test_reconciliation_takes_one_shuffle_and_no_join(spark, sf_dir) -> None:
+    rows, given = fixture.transactions(spark, sf_dir), fixture.categories(spark, sf_dir)
+    sides = [spark.createDataFrame([], REPORT) for _ in range(2)]
+    plan = plan_of(compare.reconciled(*sides))
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, re.MULTILINE)) <= 1
+    assert "Join" not in plan
+    both = [monthly_report(rows, given, profile, True) for profile in (AS_IMPLEMENTED, AS_SPECIFIED)]
+    found = compare.reconciled(*both).collect()
+    sums = [sum(r.amount or 0 for r in side.collect()) for side in both]
+    assert sum(r.amount_difference for r in found) == sums[1] - sums[0]
+    assert {r.status for r in found} >= {"equal", "left only", "right only"}
+
+
+def test_row_differences_count_repeats(spark) -> None:
+    a, b, c = (("2018-01-31", kind, None, "1.00", 1) for kind in "abc")
+    left, right = report_rows(spark, [a, a, a, b]), report_rows(spark, [a, b, c, c])
+    found = compare.row_differences(left, right).collect()
+    assert Counter((r.transaction_type, r.side, r.times) for r in found) == {("a", "left", 2): 1, ("c", "right", 2): 1}
+    assert compare.row_differences(left, left).count() == 0
+    with pytest.raises(ValueError, match="other columns"):
+        compare.row_differences(left, right.drop("number"))
+
+
+# Subtotals
+
+
+def tx(month=1, amount="1.00", **more) -> Transaction:
+    return Transaction(date=month and datetime.date(2018, month, 3), amount=amount and Decimal(amount), **more)
+
+
+def test_subtotals_tell_a_missing_key_from_a_subtotal(spark) -> None:
+    rows = [tx(merchant_category_id="1"), tx(month=None, merchant_category_id="2", payment_method="payment02"), tx(2, None), tx(2, "5.00", payment_method="payment02")]
+    transactions = transactions_of(spark, rows).withColumn("level", F.lit("clash"))
+    categories = categories_of(spark, [Category("1", "0742")])
+    found = rollup.subtotals(transactions, categories, AS_SPECIFIED, small_categories=True).collect()
+    top = {(r.level, r.date, r.service_system_type): (r.amount, r.number) for r in found if r.level in (0b11111, 0b01111)}
+    assert top == {
+        (0b11111, None, None): (Decimal("7.00"), 4),
+        (0b01111, "2018-01-31", None): (Decimal("1.00"), 1),
+        (0b01111, None, None): (Decimal("1.00"), 1),
+        (0b01111, "2018-02-28", None): (Decimal("5.00"), 2),
+    }
+    # A category code that is missing, and the subtotal over all codes.
+    months = [r for r in found if r.date is None and r.service_system_type == "OTH" and r.merchant_category_code is None]
+    assert {r.level for r in months} == {0, 0b1, 0b11, 0b111}
+    sets = [["service_system_type"], ["date"], []]
+    by_set = rollup.subtotals(transactions, categories, AS_SPECIFIED, sets, small_categories=False).collect()
+    assert Counter(r.level for r in by_set) == {0b10111: 2, 0b01111: 3, 0b11111: 1}
+    assert rollup.subtotals(transactions.limit(0), categories, small_categories=True).count() == 0
+    assert max(r.number for r in rollup.subtotals(transactions, categories, AS_IMPLEMENTED, small_categories=True).collect()) == 3
+
+
+def test_subtotals_take_one_scan_and_one_shuffle(spark, tmp_path) -> None:
+    transactions_of(spark, [tx()]).write.parquet(f"{tmp_path}/tx")
+    transactions = spark.read.parquet(f"{tmp_path}/tx")
+    plan = plan_of(rollup.subtotals(transactions, categories_of(spark, []), small_categories=True))
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, re.MULTILINE)) == 1
+    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.MULTILINE)) == 1
+    assert "partial_sum" in plan
+
+
+# Trends
+
+
+def by_id() -> dict:
+    return {"merchant_category_id": F.col("merchant_category_id")}
+
+
+def test_trailing_totals_cross_gaps_and_year_ends(spark) -> None:
+    dates = [(2018, 11), (2018, 11), (2019, 1), (2019, 12), (2021, 3)]
+    rows = [Transaction(date=datetime.date(y, m, 9), amount=Decimal(10 ** i), merchant_category_id=id_)
+            for id_ in ("1", None) for i, (y, m) in enumerate(dates)]
+    rows += [Transaction(date=None, merchant_category_id="1"), tx(6, None, merchant_category_id="2")]
+    found = trends.trailing_totals(transactions_of(spark, rows).withColumn("number", F.lit("x")), by_id()).collect()
+    by_key = defaultdict(dict)
+    for r in found:
+        by_key[r.merchant_category_id][r.date] = (r.amount, r.number, r.trailing_amount, r.trailing_number)
+    assert by_key["1"] == by_key[None]
+    one = by_key["1"]
+    # From November 2018 to eleven months after March 2021, no month missing.
+    assert len(one) == 28 + 12
+    assert one["2018-11-30"] == (Decimal("11.00"), 2, Decimal("11.00"), 2)
+    assert one["2018-12-31"] == (Decimal("0.00"), 0, Decimal("11.00"), 2)
+    assert one["2019-10-31"] == (Decimal("0.00"), 0, Decimal("111.00"), 3)
+    assert one["2019-11-30"] == (Decimal("0.00"), 0, Decimal("100.00"), 1)
+    assert one["2019-12-31"] == (Decimal("1000.00"), 1, Decimal("1100.00"), 2)
+    assert one["2021-02-28"][2:] == (Decimal("0.00"), 0)
+    assert one["2022-02-28"][2:] == (Decimal("10000.00"), 1)
+    # Amounts that are all missing are nothing.
+    assert by_key["2"]["2018-06-30"] == (Decimal("0.00"), 1, Decimal("0.00"), 1)
+    one_month = trends.trailing_totals(transactions_of(spark, rows), by_id(), months=1).filter("merchant_category_id = '1'")
+    assert all(r.amount == r.trailing_amount for r in one_month.collect())
+    assert one_month.count() == 29
+    assert trends.trailing_totals(transactions_of(spark, []), by_id()).count() == 0
+    with pytest.raises(ValueError, match="at least one"):
+        trends.trailing_totals(transactions_of(spark, []), by_id(), months=0)
+
+
+def test_places_are_shared_and_missing_amounts_come_last(spark) -> None:
+    rows = [tx(1, a, merchant_category_id=i) for i, a in (("1", "5.00"), ("2", "9.00"), ("3", "5.00"), (None, "1.00"), ("4", None))]
+    rows += [tx(2, "1.00", merchant_category_id="1")] * 2 + [tx(None, "9.00", merchant_category_id="1")]
+    found = trends.top_of_month(transactions_of(spark, rows), by_id(), places=2).collect()
+    assert Counter((r.date, r.merchant_category_id, r.place) for r in found) == Counter(
+        [("2018-01-31", "2", 1), ("2018-01-31", "1", 2), ("2018-01-31", "3", 2), ("2018-02-28", "1", 1)]
+    )
+    every = trends.top_of_month(transactions_of(spark, rows), by_id(), places=9).collect()
+    assert {(r.merchant_category_id, r.place) for r in every if r.date == "2018-01-31"} == {
+        ("2", 1), ("1", 2), ("3", 2), (None, 4), ("4", 5)
+    }
+    assert trends.top_of_month(transactions_of(spark, []), by_id()).count() == 0
+
+
+def test_only_the_best_rows_of_each_task_are_ranked(spark, sf_dir) -> None:
+    plan = plan_of(QUERIES["top_categories_of_month"](spark, sf_dir))
+    assert "WindowGroupLimit" in plan
+    sorts = [int(n) for n in re.findall(r"^\((\d+)\) Sort \[", plan, re.MULTILINE)]
+    summed = [int(n) for n in re.findall(r"^\((\d+)\) HashAggregate", plan, re.MULTILINE)]
+    after = re.findall(r"^\((\d+)\) Sort(?! ?Merge)", plan, re.MULTILINE)
+    assert summed
+    assert sorts == [] or min(sorts) > min(summed)
+    assert any(int(n) > min(summed) for n in after)
+
+
+# Customers
+
+
+def customer_rows(spark, count: int):
+    return spark.range(count).select(
+        F.when(F.col("id") % 50 > 0, F.date_add(F.lit(datetime.date(2018, 1, 1)), (F.col("id") % 200).cast("int"))).alias("date"),
+        F.when(F.col("id") % 7 > 0, F.col("id") * 7919 % 3000).alias("customer"),
+        F.when(F.col("id") % 3 > 0, (F.col("id") % 3).cast("string")).alias("kind"),
+        F.lit("clash").alias("month"),
+        F.lit("clash").alias("counted"),
+    )
+
+
+def brute_customers(rows, quarters: bool) -> dict:
+    seen = defaultdict(set)
+    for r in rows:
+        if r.date is None:
+            continue
+        month = (r.date.month - 1) // 3 * 3 + 3 if quarters else r.date.month
+        end = datetime.date(2018 + month // 12, month % 12 + 1, 1) - datetime.timedelta(days=1)
+        seen[str(end), r.kind].add(r.customer)
+    return {key: len(found - {None}) for key, found in seen.items()}
+
+
+@pytest.mark.parametrize("quarters", [False, True])
+def test_customers_are_counted_exactly(spark, quarters) -> None:
+    frame, keys = customer_rows(spark, 2000), {"kind": F.col("kind")}
+    found = customers.customers_exactly(frame, keys, "customer", quarters).collect()
+    assert {(r.date, r.kind): r.customers for r in found} == brute_customers(frame.collect(), quarters)
+    nobody = customers.customers_exactly(frame.withColumn("customer", F.lit(None)), keys, "customer").collect()
+    assert {r.customers for r in nobody} == {0}
+    assert customers.customers_exactly(frame.limit(0), keys, "customer").count() == 0
+
+
+def test_sketches_merge_within_their_error_and_size(spark) -> None:
+    frame, keys = customer_rows(spark, 60_000), {"kind": F.col("kind")}
+    sketches = customers.customer_sketches(frame, keys, "customer")
+    merged = customers.merged_by_quarter(sketches, ["kind"])
+    exact = {(r.date, r.kind): r.customers for r in customers.customers_exactly(frame, keys, "customer", True).collect()}
+    found = {(r.date, r.kind): r.customers for r in customers.estimated(merged, ["kind"]).collect()}
+    assert found.keys() == exact.keys()
+    assert all(abs(found[k] - n) <= customers.relative_error() * n for k, n in exact.items())
+    sizes = merged.union(sketches.select(*merged.columns)).agg(F.max(F.octet_length("sketch"))).first()[0]
+    assert sizes <= customers.MOST_SKETCH_BYTES
+    # Merging the same twice adds no customers.
+    again = {(r.date, r.kind): r.customers for r in customers.estimated(customers.merged_by_quarter(merged.union(merged), ["kind"]), ["kind"]).collect()}
+    assert all(abs(again[k] - n) <= customers.relative_error() * n for k, n in exact.items())
+    nobody = customers.customer_sketches(frame.withColumn("customer", F.lit(None).cast("long")), keys, "customer")
+    assert {r.customers for r in customers.estimated(nobody, ["kind"]).collect()} == {0}
+
+
+# Unmatched ids
+
+
+def test_ids_without_a_code_and_why(spark) -> None:
+    ids = ["1", "01", "2", "2", None, "", "x", "3", "4"]
+    rows = transactions_of(spark, [tx(1, "1.00", merchant_category_id=i) for i in ids] + [tx(1, None, merchant_category_id="2")])
+    rows = rows.withColumn("id", F.lit("clash")).withColumn("code", F.lit("clash"))
+    categories = categories_of(spark, [Category("1", "0742"), Category("3", " "), Category("3", None), Category("4", None), Category("4.0", "5411"), Category(None, "9")])
+    keys = dimensions.category_keys(rows, categories)
+    found = unmatched.unmatched_ids(rows, categories, keys).collect()
+    assert {(r.id, r.reason, r.records, r.amount) for r in found} == {
+        ("2", "unknown id", 3, 2), (None, "missing id", 2, 2), ("x", "unknown id", 1, 1), ("3", "without code", 1, 1)
+    }
+    assert unmatched.unmatched_ids(rows.limit(0), categories, keys).count() == 0
+    assert unmatched.unmatched_ids(rows, categories.limit(0), keys).filter("reason = 'unknown id'").count() == 5
+    more = categories.union(categories_of(spark, [Category("77", "1"), Category("77", "1")]))
+    unused = unmatched.unused_categories(rows, more, keys).collect()
+    assert Counter(map(tuple, unused)) == {("77", "1"): 2, (None, "9"): 1}
+
+
+def test_not_in_is_not_the_same_as_not_exists(spark) -> None:
+    counted = spark.createDataFrame([("1", 1, 1), ("2", 1, 1), (None, 1, 1)], "id string, records long, amount int")
+    some = spark.createDataFrame([("1",), ("1",)], "id string")
+    hole = spark.createDataFrame([("1",), (None,)], "id string")
+    empty = spark.createDataFrame([], "id string")
+    counted.createOrReplaceTempView("counted")
+    for ids, certain in ((some, {"2"}), (hole, set()), (empty, {"1", "2", None})):
+        ids.createOrReplaceTempView("ids")
+        assert {r.id for r in unmatched.not_among(counted, ids).collect()} == certain
+        by_sql = spark.sql("SELECT * FROM counted WHERE id NOT IN (SELECT id FROM ids)")
+        assert {r.id for r in by_sql.collect()} == certain
+        by_exists = spark.sql("SELECT * FROM counted c WHERE NOT EXISTS (SELECT 1 FROM ids i WHERE i.id = c.id)")
+        assert {r.id for r in unmatched.without_match(counted, ids).collect()} == {r.id for r in by_exists.collect()}
+    assert unmatched.not_among(counted, hole).columns == counted.columns
+
+
+def test_ids_are_counted_before_they_are_joined(spark, sf_dir) -> None:
+    plan = plan_of(QUERIES["unmatched_category_ids"](spark, sf_dir))
+    assert "partial_count" in plan
+    assert "NestedLoop" not in plan
+
+
+# Nested payments
+
+
+def test_nested_payments_keep_empty_arrays_and_spoil_single_items(spark, tmp_path) -> None:
+    lines = [
+        '{"payment_id":"1","date":"2018-12-03","extra":1,"items":[{"amount":"1.50","payment_method":"payment01",'
+        '"merchant_category_id":"007","attributes":{"card_type":"type01","card_brand":"brand01","more":"x"}},'
+        '{"amount":"1,50"},null,{}]}',
+        '{"payment_id":"2","date":"03/12/2018","items":[{"amount":"2"},{"amount":"x"}]}',
+        '{"payment_id":"3","date":"2018-12-04","items":[]}',
+        '{"payment_id":"4","date":"2018-12-04"}',
+        '{"payment_id":"5","date":"bad","items":[]}',
+        "no json",
+    ]
+    (tmp_path / "in.json").write_text("\n".join(lines))
+    payments = nested.read_payments(spark, f"{tmp_path}/in.json")
+    items = nested.payment_items(payments)
+    assert items.columns == ["payment_id", "item", *TRANSACTIONS.fieldNames()]
+    found = Counter((r.payment_id, r.item, r.date and str(r.date), r.amount) for r in items.collect())
+    assert found == Counter([
+        ("1", 1, "2018-12-03", Decimal("1.50")), ("1", 2, "2018-12-03", None), ("1", 3, "2018-12-03", None),
+        ("1", 4, "2018-12-03", None), ("2", 1, None, 2), ("2", 2, None, None), ("3", None, "2018-12-04", None),
+        ("4", None, "2018-12-04", None), ("5", None, None, None), (None, None, None, None),
+    ])
+    first = items.filter("payment_id = '1' and item = 1").first()
+    assert (first.card_type, first.card_brand, first.backend_name, first.merchant_category_id) == ("type01", "brand01", None, "007")
+    rejects = nested.rejected_items(payments).collect()
+    assert Counter(map(tuple, rejects)) == Counter([
+        ("1", 2, "amount", "1,50"), ("2", None, "date", "03/12/2018"), ("2", 2, "amount", "x"), ("5", None, "date", "bad"),
+    ])
+    assert nested.payment_transactions(payments).count() == 6
+    assert nested.payment_transactions(payments).schema.fieldNames() == TRANSACTIONS.fieldNames()
+    assert nested.payment_items(payments.limit(0)).count() == 0
+    assert nested.rejected_items(payments.limit(0)).count() == 0
+
+
+def test_the_report_of_nested_payments_is_that_of_their_transactions(spark, sf_dir, tmp_path) -> None:
+    random.seed(1)
+    nested.write_payments(fixture.payments(spark, sf_dir), f"{tmp_path}/payments")
+    back = nested.payment_transactions(nested.read_payments(spark, f"{tmp_path}/payments"))
+    rows = fixture.transactions(spark, sf_dir)
+    assert back.count() == rows.count()
+    types = {f.name: f.dataType for f in TRANSACTIONS}
+    assert {f.name: f.dataType for f in back.schema} == types

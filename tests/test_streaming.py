@@ -1,0 +1,150 @@
+"""The streamed report equals the batch report, however the input is split."""
+
+from __future__ import annotations
+
+import csv
+import datetime
+import random
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+
+from tallymonth import AS_IMPLEMENTED, AS_SPECIFIED, monthly_report, read_monthly_files, write_monthly_files
+from tallymonth.schemas import TRANSACTIONS
+from tallymonth.streaming.monthly import (
+    MonthlyReportSink,
+    read_transaction_stream,
+    start_monthly_report,
+)
+from tests.helpers import categories_of, transactions_of
+from tests.model import Category, Transaction
+
+CATEGORIES = [Category(i, f"{i:04}") for i in range(1, 5)] + [Category(5, None)]
+
+
+def random_transactions(count: int) -> list[Transaction]:
+    def one() -> Transaction:
+        date = datetime.date(2018, 1, 1) + datetime.timedelta(days=random.randrange(150))
+        return Transaction(
+            date=random.choice([date] * 9 + [None]),
+            amount=random.choice([Decimal(random.randrange(100, 9_000_000)) / 100] * 9 + [None]),
+            payment_method=random.choice(["payment01", "payment02", None]),
+            card_type=random.choice(["type01", "type02", None]),
+            card_brand=random.choice(["brand01", "other", None]),
+            card_country_issuer_code=random.choice(["A029", "A100", None]),
+            backend_name=random.choice(["b03", "b12", None]),
+            merchant_category_id=random.choice([1, 2, 3, 4, 5, 6, None]),
+        )
+
+    rows = [one() for _ in range(count)]
+    return rows + rows[: count // 10]
+
+
+def write_file(folder, name: str, rows: list[Transaction]) -> None:
+    partial = folder.parent / f"{name}.partial"
+    with open(partial, "w", newline="", encoding="utf-8") as file:
+        writer = csv.writer(file)
+        writer.writerow(TRANSACTIONS.fieldNames())
+        writer.writerows([["" if value is None else value for value in row] for row in rows])
+    partial.rename(folder / f"{name}.csv")
+
+
+def batch_report(spark, tmp_path, rows, profile) -> Counter:
+    typed = [row._replace(merchant_category_id=None if row.merchant_category_id is None else str(row.merchant_category_id)) for row in rows]
+    path = str(tmp_path / f"batch-{random.random()}")
+    categories = categories_of(spark, [c._replace(id=str(c.id)) for c in CATEGORIES])
+    write_monthly_files(monthly_report(transactions_of(spark, typed), categories, profile, True), path, profile)
+    return Counter(map(tuple, read_monthly_files(spark, path).collect()))
+
+
+def report_of(spark, path) -> Counter:
+    return Counter(map(tuple, read_monthly_files(spark, str(path)).collect()))
+
+
+@pytest.fixture
+def place(tmp_path):
+    inputs = tmp_path / "in"
+    inputs.mkdir()
+    return inputs
+
+
+def make_sink(spark, tmp_path, profile=AS_IMPLEMENTED, **options) -> MonthlyReportSink:
+    categories = categories_of(spark, [c._replace(id=str(c.id)) for c in CATEGORIES])
+    return MonthlyReportSink(categories, str(tmp_path / "out"), str(tmp_path / "state"), profile, **options)
+
+
+def run(spark, tmp_path, inputs, sink, files_a_batch=1) -> int:
+    stream = read_transaction_stream(spark, str(inputs), files_a_batch)
+    query = start_monthly_report(stream, sink, str(tmp_path / "checkpoint"), once=True)
+    query.awaitTermination()
+    return len([p for p in query.recentProgress if p["numInputRows"]])
+
+
+@pytest.mark.parametrize(("profile", "compact_every"), [(AS_IMPLEMENTED, 2), (AS_SPECIFIED, 50)])
+def test_any_split_and_a_restart_give_the_batch_report(spark, tmp_path, place, profile, compact_every) -> None:
+    random.seed(compact_every)
+    rows = random_transactions(120)
+    sizes = [0, 7, 50, 51, 90, len(rows)]
+    parts = [rows[a:b] for a, b in zip([0, *sizes], sizes, strict=False)]
+    sink = make_sink(spark, tmp_path, profile, compact_every=compact_every)
+    for number, part in enumerate(parts[:3]):
+        write_file(place, f"f{number}", part)
+    assert run(spark, tmp_path, place, sink) >= 2
+    assert report_of(spark, tmp_path / "out") == batch_report(spark, tmp_path, sum(parts[:3], []), profile)
+    # A new sink, as a new process has it, goes on from the checkpoint.
+    for number, part in enumerate(parts[3:], start=3):
+        write_file(place, f"f{number}", part)
+    run(spark, tmp_path, place, make_sink(spark, tmp_path, profile, compact_every=compact_every))
+    assert report_of(spark, tmp_path / "out") == batch_report(spark, tmp_path, rows, profile)
+
+
+def test_a_batch_that_runs_again_counts_once(spark, tmp_path) -> None:
+    random.seed(3)
+    rows = [r._replace(merchant_category_id=r.merchant_category_id and str(r.merchant_category_id)) for r in random_transactions(60)]
+    sink = make_sink(spark, tmp_path, compact_every=2)
+    batches = [rows[:20], rows[20:40], rows[40:50], rows[50:]]
+    for number, batch in enumerate(batches):
+        # Every batch twice, those that end a generation too.
+        sink(transactions_of(spark, batch), number)
+        sink(transactions_of(spark, batch), number)
+    assert report_of(spark, tmp_path / "out") == batch_report(spark, tmp_path, rows, AS_IMPLEMENTED)
+    generations = sorted(p.name for p in (tmp_path / "state" / "totals").iterdir() if p.is_dir())
+    assert generations == ["generation=2", "generation=4"]
+
+
+def test_months_without_new_rows_are_left_alone(spark, tmp_path) -> None:
+    sink = make_sink(spark, tmp_path)
+    january, march = (Transaction(date=datetime.date(2018, m, 5), merchant_category_id="1") for m in (1, 3))
+    sink(transactions_of(spark, [january, march]), 0)
+    files = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "out").glob("ACME_*.csv")}
+    assert sorted(files) == ["ACME_20180131.csv", "ACME_20180331.csv"]
+    sink(transactions_of(spark, [march]), 1)
+    now = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "out").glob("ACME_*.csv")}
+    assert now["ACME_20180131.csv"] == files["ACME_20180131.csv"]
+    assert now["ACME_20180331.csv"] > files["ACME_20180331.csv"]
+    # A batch without rows changes nothing.
+    sink(transactions_of(spark, []), 2)
+    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "out").glob("ACME_*.csv")} == now
+
+
+def test_rows_for_closed_months_are_taken_and_noted(spark, tmp_path) -> None:
+    sink = make_sink(spark, tmp_path, lateness=datetime.timedelta(days=10))
+
+    def of(month: int, day: int, amount: int) -> Transaction:
+        return Transaction(date=datetime.date(2018, month, day), amount=Decimal(amount), merchant_category_id="1")
+
+    assert sink.corrections(spark).count() == 0
+    first = [of(1, 5, 10), of(2, 9, 20)]
+    sink(transactions_of(spark, first), 0)
+    # The latest date is 9 February, so January is closed only when it is past 10 February.
+    second = [of(1, 6, 30), of(2, 28, 1)]
+    sink(transactions_of(spark, second), 1)
+    assert sink.corrections(spark).count() == 0
+    third = [of(1, 7, 40), of(1, 8, 2), of(2, 1, 3)]
+    for _ in range(2):
+        sink(transactions_of(spark, third), 2)
+    (noted,) = sink.corrections(spark).collect()
+    assert (noted.date, noted.records, noted.amount, noted.batch) == (datetime.date(2018, 1, 31), 2, 42, 2)
+    assert noted.closed_before == datetime.date(2018, 2, 18)
+    assert report_of(spark, tmp_path / "out") == batch_report(spark, tmp_path, first + second + third, AS_IMPLEMENTED)

@@ -1,0 +1,254 @@
+"""As-of join and interval join against brute force, and how they are planned and dealt."""
+
+from __future__ import annotations
+
+import datetime
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallymonth.operators import asof, dimensions, intervals, spread
+from tallymonth.queries import fixture
+from tests.helpers import plan_of, settings
+
+DAY = datetime.date(2018, 1, 1)
+ROWS = "date date, amount int, merchant_category_id string"
+VERSIONS = "id string, code string, valid_from date"
+PERIODS = "id string, fee_code string, rate double, starts date, ends date"
+
+
+def day(number: int | None) -> datetime.date | None:
+    return None if number is None else DAY + datetime.timedelta(days=number)
+
+
+def maybe(value, share: float = 0.1):
+    return None if random.random() < share else value
+
+
+def random_rows(count: int, ids: list, days: int = 40) -> list:
+    rows = [(day(maybe(random.randrange(days))), random.randrange(3), maybe(random.choice(ids))) for _ in range(count)]
+    return rows + rows[: count // 10]
+
+
+def value_of(identifier: str | None) -> str | None:
+    """The key an id stands for: plain numbers by value."""
+    if identifier is None or not identifier.strip():
+        return None
+    text = identifier.strip()
+    return str(int(text)) if text.isdigit() else text
+
+
+def brute_as_of(rows: list, versions: list) -> Counter:
+    out: Counter = Counter()
+    for date, amount, id_ in rows:
+        found = [
+            (start or datetime.date.min, code is not None, code or "")
+            for version, code, start in versions
+            if value_of(id_) is not None and value_of(version) == value_of(id_)
+            and date is not None and (start is None or start <= date)
+        ]
+        best = max(found, default=(None, False, None))
+        out[date, amount, id_, best[2] if best[1] else None] += 1
+    return out
+
+
+def random_versions(count: int) -> list:
+    ids = ["1", "02", "3.0", "m", " 4", "", "unused"]
+    made = [(maybe(random.choice(ids)), maybe(random.choice(["0742", "5411", ""])), day(maybe(random.randrange(45)))) for _ in range(count)]
+    return [(v[0] if v[0] != "3.0" else "3", *v[1:]) for v in made] + made[:3]
+
+
+@pytest.mark.parametrize("way", ["small", "sorted", "cut", "dealt"])
+def test_as_of_is_brute_force(spark, way) -> None:
+    random.seed(11)
+    rows = random_rows(400, ["1", "2", "002", "3", "m", "4", "5", "  "]) + [(day(7), 1, "1")] * 60
+    versions = [v if v[0] != "3.0" else ("3", *v[1:]) for v in random_versions(60)]
+    options = {
+        "small": {"small_versions": True},
+        "sorted": {},
+        "cut": {"hot_rows": 50},
+        "dealt": {"hot_rows": 2, "most_hot_ids": 3},
+    }[way]
+    found = dimensions.with_category_code_as_of(
+        spark.createDataFrame(rows, ROWS), spark.createDataFrame(versions, VERSIONS), **options
+    )
+    assert found.columns == ["date", "amount", "merchant_category_id", "code"]
+    assert Counter(map(tuple, found.collect())) == brute_as_of(rows, versions)
+
+
+@pytest.mark.parametrize("options", [{"small_versions": True}, {}, {"hot_rows": 1}])
+def test_as_of_bears_clashing_names_and_empty_tables(spark, options) -> None:
+    rows = [(day(3), 1, "1"), (day(1), 2, "1"), (None, 3, "1"), (day(3), 4, None)]
+    versions = [("1", "a", day(2)), ("1", "b", None), (None, "c", None)]
+    frame, dated = spark.createDataFrame(rows, ROWS), spark.createDataFrame(versions, VERSIONS)
+    names = ["code", "key", "at", "row", "value", "salt", "stretch", "bounds", "side", "spread", "start", "end"]
+    clashing = frame.select("*", *[F.lit(f"own {name}").alias(name) for name in names])
+    found = dimensions.with_category_code_as_of(clashing, dated.withColumn("key", F.lit("x")), **options)
+    assert found.columns == [*ROWS.split(" ")[0:1], "amount", "merchant_category_id", *names[1:], "code"]
+    codes = {r.amount: (r.code, r.key) for r in found.collect()}
+    assert codes == {1: ("a", "own key"), 2: ("b", "own key"), 3: (None, "own key"), 4: (None, "own key")}
+    none = dimensions.with_category_code_as_of(frame, dated.limit(0), **options).collect()
+    assert [r.code for r in none] == [None] * 4
+    assert dimensions.with_category_code_as_of(frame.limit(0), dated, **options).count() == 0
+
+
+def test_a_version_with_a_missing_code_ends_the_one_before(spark) -> None:
+    rows = spark.createDataFrame([(day(i), i, "1") for i in range(5)], ROWS)
+    versions = spark.createDataFrame([("1", "a", day(1)), ("1", None, day(3)), ("1", None, day(1))], VERSIONS)
+    for options in ({"small_versions": True}, {}, {"hot_rows": 1}):
+        found = dimensions.with_category_code_as_of(rows, versions, **options).collect()
+        assert {r.amount: r.code for r in found} == {0: None, 1: "a", 2: "a", 3: None, 4: None}
+
+
+def loads(frame) -> list[int]:
+    """Rows of each task of the last stage."""
+    counted = frame.groupBy(F.spark_partition_id()).count().collect()
+    return [row["count"] for row in counted]
+
+
+@pytest.mark.parametrize("kind", ["many days", "two days", "equal rows"])
+def test_one_frequent_id_is_dealt_to_all_tasks(spark, kind) -> None:
+    tasks, count = 16, 64_000
+    days = {"many days": 2000, "two days": 2, "equal rows": 1}[kind]
+    content = F.lit(1) if kind == "equal rows" else F.col("id")
+    rows = spark.range(0, count, 1, 128).select(
+        F.date_add(F.lit(DAY), (F.col("id") % days).cast("int")).alias("date"),
+        content.alias("amount"),
+        F.when(F.col("id") % 10 > 0, F.lit("1")).otherwise((F.col("id") % 3000).cast("string")).alias("merchant_category_id"),
+    )
+    versions = spark.range(0, 500).select(
+        F.lit("1").alias("id"), F.col("id").cast("string").alias("code"), F.date_add(F.lit(DAY), (F.col("id") * 4).cast("int")).alias("valid_from")
+    )
+    with settings(spark, adaptive_enabled="false", shuffle_partitions=str(tasks), autoBroadcastJoinThreshold="-1"):
+        found = dimensions.with_category_code_as_of(rows, versions, hot_rows=500)
+        assert max(loads(found)) < 3 * count / tasks
+        assert found.filter("code is null and merchant_category_id = '1'").count() == 0
+
+
+def test_rows_without_an_id_are_dealt_to_all_tasks(spark) -> None:
+    rows = spark.range(0, 32_000, 1, 32).select(
+        F.lit(DAY).alias("date"), F.lit(1).alias("amount"), F.lit(None).cast("string").alias("merchant_category_id")
+    )
+    versions = spark.createDataFrame([("1", "a", None)], VERSIONS)
+    with settings(spark, adaptive_enabled="false", shuffle_partitions="8"):
+        assert max(loads(dimensions.with_category_code_as_of(rows, versions))) < 3 * 4_000
+
+
+def test_only_the_union_of_rows_and_versions_is_shuffled_to_be_sorted(spark, sf_dir) -> None:
+    rows = fixture.transactions(spark, sf_dir)
+    versions = fixture.dated_categories(spark, sf_dir)
+    sorted_way = plan_of(dimensions.with_category_code_as_of(rows, versions))
+    assert "Python" not in sorted_way
+    assert "CartesianProduct" not in sorted_way
+    small = plan_of(dimensions.with_category_code_as_of(rows, versions, small_versions=True))
+    assert "NestedLoop" not in small
+    with pytest.raises(ValueError, match="groupings"):
+        from tallymonth.plans import rollup
+
+        rollup.subtotals(rows, versions, groupings=[["amount"]])
+
+
+# Intervals
+
+
+def brute_intervals(rows: list, periods: list) -> Counter:
+    out: Counter = Counter()
+    for date, amount, id_ in rows:
+        for period, fee, rate, start, end in periods:
+            if (
+                value_of(id_) is not None and value_of(period) == value_of(id_) and date is not None
+                and (start is None or start <= date) and (end is None or date < end)
+            ):
+                out[date, amount, id_, fee, rate] += 1
+    return out
+
+
+@pytest.mark.parametrize("options", [{"small_periods": True}, {}, {"hot_rows": 5}])
+def test_intervals_are_brute_force(spark, options) -> None:
+    random.seed(5)
+    ids = ["1", "02", "m", "", "9"]
+    periods = []
+    for i in range(120):
+        start = maybe(random.randrange(-3000, 45), 0.15)
+        length = random.choice([0, -3, 1, 2, 7, 8, 9, 64, 65, 600, 5000])
+        end = maybe((start or 0) + length, 0.15)
+        periods.append((maybe(random.choice(ids)), f"f{i % 5}", i / 8, day(start), day(end)))
+    periods += periods[:4]
+    rows = random_rows(200, ["1", "2", "m", "  ", "8"]) + [(day(7), 1, "2")] * 30
+    found = dimensions.with_fee_periods(
+        spark.createDataFrame(rows, ROWS), spark.createDataFrame(periods, PERIODS), **options
+    )
+    assert found.columns == ["date", "amount", "merchant_category_id", "fee_code", "rate"]
+    assert Counter(map(tuple, found.collect())) == brute_intervals(rows, periods)
+
+
+def test_no_period_is_in_more_than_two_bins(spark) -> None:
+    random.seed(6)
+    lengths = [1, 7, 8, 9, 63, 64, 65, 511, 512, 513, 10**6, 10**15, 2**62]
+    periods = [(1, a, a + n, "x") for n in lengths for a in (-n, -3, 0, 5, random.randrange(10**6))]
+    periods += [(1, None, 5, "x"), (1, 5, None, "x"), (1, None, None, "x"), (1, -(2**63), 2**63 - 1, "x")]
+    frame = spark.createDataFrame(periods, "id long, starts long, ends long, fee_code string")
+    index = intervals.indexed(frame, F.col("id"), "starts", "ends", ["fee_code"])
+    counts = index.groupBy("first", "after").count().collect()
+    assert len(counts) == len({p[1:3] for p in periods})
+    repeats = Counter(p[1:3] for p in periods)
+    assert all(r["count"] <= 2 * repeats[r["first"], r["after"]] for r in counts)
+    times = [(1, t) for t in (-(2**62), -4, -1, 0, 4, 5, 6, 10**6, 2**62)]
+    rows = spark.createDataFrame(times, "key long, at long")
+    keys = F.col("key"), F.col("id")
+    found = intervals.interval_join(rows, frame, keys, "at", ("starts", "ends"), ["fee_code"])
+    expected = Counter(
+        t for _, t in times for _, a, b, _ in periods if (a is None or a <= t) and (b is None or t < b)
+    )
+    assert Counter(r["at"] for r in found.collect()) == expected
+
+
+def test_intervals_bear_clashing_names_timestamps_and_empty_tables(spark) -> None:
+    rows = spark.sql("SELECT TIMESTAMP'2018-01-01 12:00:00' AS date, 1 AS amount, '1' AS merchant_category_id")
+    names = ["fee_code", "key", "row", "level", "bin", "first", "after", "value", "salt", "number", "probe", "groups"]
+    rows = rows.select("*", *[F.lit("own").alias(name) for name in names])
+    periods = spark.sql(
+        "SELECT '1' AS id, 'f' AS fee_code, 0.5D AS rate, TIMESTAMP'2018-01-01 12:00:00' AS starts, "
+        "TIMESTAMP'2018-01-01 12:00:00.000001' AS ends, 'x' AS level"
+    )
+    for options in ({"small_periods": True}, {}, {"hot_rows": 1}):
+        (found,) = dimensions.with_fee_periods(rows, periods, **options).collect()
+        assert (found.fee_code, found.rate, found.level) == ("f", 0.5, "own")
+        assert dimensions.with_fee_periods(rows, periods.limit(0), **options).count() == 0
+        assert dimensions.with_fee_periods(rows.limit(0), periods, **options).count() == 0
+    with pytest.raises(TypeError, match="no periods of string"):
+        intervals.interval_join(rows, periods, (F.col("key"), F.col("id")), "fee_code", ("fee_code", "ends"), [])
+
+
+def test_rows_of_a_crowded_bin_are_dealt_to_all_tasks(spark) -> None:
+    tasks, count = 16, 64_000
+    rows = spark.range(0, count, 1, 32).select(
+        F.lit(DAY).alias("date"), F.col("id").alias("amount"), F.lit("1").alias("merchant_category_id")
+    )
+    periods = spark.createDataFrame([("1", "f", 0.1, None, None), ("1", "g", 0.1, DAY, day(3))], PERIODS)
+    with settings(spark, adaptive_enabled="false", shuffle_partitions=str(tasks), autoBroadcastJoinThreshold="-1"):
+        found = dimensions.with_fee_periods(rows, periods, hot_rows=500)
+        assert max(loads(found)) < 3 * 2 * count / tasks
+        assert found.count() == 2 * count
+
+
+def test_salts_do_not_depend_on_the_order_of_rows(spark) -> None:
+    rows = spark.createDataFrame([(i, {"a": i}, [i], (i,)) for i in range(50)], "a int, m map<string,int>, l array<int>, s struct<x:int>")
+    salts = [
+        {r.a: r.salt for r in frame.select("a", spread.spread(rows).alias("salt")).collect()}
+        for frame in (rows.coalesce(1), rows.coalesce(1).sortWithinPartitions(F.desc("a")))
+    ]
+    assert salts[0] == salts[1]
+    assert len(set(salts[0].values())) == 50
+    assert spark.range(3).select(F.struct().alias("s")).select(spread.spread(spark.createDataFrame([({"a": 1},)], "m map<string,int>"))).count() == 3
+
+
+def test_stretches_hold_equal_shares(spark) -> None:
+    keyed = spark.range(10_000).select(F.lit("1").alias("key"), F.date_add(F.lit(DAY), (F.col("id") % 1000).cast("int")).alias("at"))
+    (cut,) = asof.cut_times(keyed, hot_rows=100).collect()
+    assert len(cut.bounds) == asof.STRETCHES - 1
+    assert cut.bounds == sorted(cut.bounds)
+    assert len(cut.salts) == asof.STRETCHES
+    assert asof.cut_times(keyed, hot_rows=20_000).count() == 0
