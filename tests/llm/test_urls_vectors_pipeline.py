@@ -112,6 +112,72 @@ def test_recall_near_the_threshold(spark) -> None:
     assert sum(r.n_links for r in found) >= 0.95 * len(both)
 
 
+def planted_vectors(kind: str) -> np.ndarray:
+    random_ = np.random.default_rng(12)
+    noise, direction = random_.normal(size=(300, 32)), np.full(32, 32**-0.5)
+    if kind == "two":
+        return np.array([direction, direction + [0.01, *[0.0] * 31]])
+    if kind == "one":
+        return direction[None]
+    if kind == "positive":
+        return np.abs(noise)
+    if kind == "scaled":
+        return direction * 10.0 ** random_.integers(-20, 20, (300, 1))
+    if kind == "clusters in a cone":
+        centres = direction + random_.normal(size=(20, 32)) * 0.35 / 32**0.5
+        return centres[random_.integers(0, 20, 300)] + noise * 0.1 / 32**0.5
+    # Two vectors of a cone have this cosine on average.
+    mean = float(kind)
+    return direction + noise / 32**0.5 * np.sqrt(1 / mean - 1)
+
+
+@pytest.mark.parametrize("long_list", [0, 20_000])
+@pytest.mark.parametrize(
+    "kind", ["one", "two", "0.3", "0.8", "0.9", "0.99", "positive", "scaled", "clusters in a cone"]
+)
+def test_no_cone_loses_its_links(spark, kind, long_list) -> None:
+    vectors = planted_vectors(kind)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.9
+    links = linked.sum(axis=1) - 1
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r.vec_id: r for r in vector_dedup.near_vectors(frame, long_list=long_list).collect()}
+    got = np.array([found[i].n_links for i in range(len(rows))])
+    assert (got <= links).all()
+    assert got.sum() >= 0.95 * links.sum()
+    if kind in ("two", "scaled"):
+        assert (got == links).all()
+    if kind in ("two", "0.99", "scaled"):
+        assert {r.component_id for r in found.values()} == {0}
+
+
+def test_lists_of_pairs_give_the_same_candidates(spark) -> None:
+    random_ = np.random.default_rng(1)
+    base = random_.normal(size=(40, 12))
+    rows = [(i, (base[i % 40] + random_.normal(size=12) * 0.25).tolist()) for i in range(400)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    both = [
+        Counter(map(tuple, vector_dedup.near_vectors(frame, 0.9, [(8, 2)], block, long_list).collect()))
+        for block, long_list in ((1000, 20_000), (7, 0))
+    ]
+    assert both[0] == both[1]
+
+
+def test_recall_is_measured_and_the_last_resort_compares_all(spark) -> None:
+    rows = [(i, v.tolist()) for i, v in enumerate(planted_vectors("0.99"))]
+    frame = spark.createDataFrame(rows, "node long, vector array<double>").withColumn("copies", F.lit(1).cast("long"))
+    index = vector_dedup.fit(frame, 300, 3, 3)
+    described = vector_dedup._described(frame, index)
+    low = vector_dedup.measured_recall(described, index, 0.9)
+    assert low < 0.5
+    near = {r.node: set(r.nearest) for r in described.collect()}
+    shared = [len(near[a] & near[b]) >= 3 for a in range(300) for b in range(300) if a != b]
+    assert abs(low - np.mean(shared)) < 0.05
+    _, index, count = vector_dedup.described_well(frame, 0.9, [(3, 3)])
+    assert (len(index.pivots), index.nearest, index.min_shared, count) == (1, 1, 1, 300)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_match_their_sql(spark, sf_dir, name) -> None:
     con = duckdb.connect()
