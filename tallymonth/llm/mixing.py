@@ -1,25 +1,32 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal blocks.
 
-A source's documents are laid end to end in a seeded order, over and over; blocks of
-``block_words`` words cut that line. Blocks are allocated by highest quotients
-target / (2 s - 1): a source gets its s-th block exactly if that quotient reaches twice
-the block's size, so quotas are the targets in blocks, rounded half up. The same rule on
-a growing part of the targets deals the blocks to shards, so that every shard is
-mixed. The mix takes the first blocks of each line: whole documents, but for one cut
-document at the end of each source's line.
+The mix has a fixed number of blocks of equally many words. They go to the sources one by
+one, each to the highest quotient target / (2 s - 1), where s is the number of the block that the
+source would get. The first blocks dealt this way make the first shard, the next
+ones the second and so on, so every source has an integer quota in every shard and every
+shard is mixed like the whole. Blocks have ``BLOCK_WORDS`` words, fewer where the smallest target
+is not at least four times that.
+
+A source's documents are laid end to end in an order drawn by the seed, over and over; its
+blocks are cut from that line, and each shard takes the next blocks of its quota. So
+documents stay whole, but for one cut document at the end of each source's line.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallymonth.llm.common import WORD
+from tallymonth.llm.common import WORD, stored
+from tallymonth.operators.spread import most_frequent
 
 BLOCK_WORDS = 32
 SHARD_WORDS = 1 << 30
 BUCKET_ROWS = 2_000
+PARTS_A_RUN = 4_096
 SEED = 42
 
 
@@ -72,52 +79,146 @@ def targets(sizes: DataFrame, weights: DataFrame, cap: float = 3.0) -> DataFrame
     return levels.select("source", "source_size", target.alias("target"))
 
 
-def quota(target: Column, source_size: Column, block_words: int, cap: float) -> Column:
-    """Blocks of a source: quotients that reach the threshold, never beyond the cap."""
-    return F.least(
-        F.floor(target / block_words + 0.5), F.floor(source_size * cap / block_words)
-    ).cast("long")
+def with_blocks(
+    planned: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, cap: float = 3.0
+) -> DataFrame:
+    """Of (source, source_size, target): ``block`` (words of a block), ``most`` (blocks that a
+    source can fill), ``all_blocks`` and ``shards`` of the mix."""
+    every = Window.partitionBy()
+    least = F.min(F.when(F.col("target") > 0, F.col("target"))).over(every)
+    block = F.greatest(F.least(F.floor(least / 4), F.lit(block_words)), F.lit(1))
+    words = F.sum("target").over(every)
+    sized = planned.withColumn("block", F.coalesce(block, F.lit(1)).cast("long")).withColumn("words", words)
+    shards = F.greatest(F.ceil(F.col("words") / shard_words), F.lit(1)).cast("long")
+    most = F.when(F.col("target") > 0, F.floor(F.col("source_size") * cap / F.col("block"))).otherwise(0)
+    # Half a block of rounding in the sums of doubles must not cost a block.
+    return sized.select(
+        "source",
+        "source_size",
+        "target",
+        "block",
+        most.cast("long").alias("most"),
+        F.floor(F.col("words") / F.col("block") + 1e-6).cast("long").alias("all_blocks"),
+        shards.alias("shards"),
+    )
 
 
-def with_shards(planned: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """Add ``shards``: how many shards of about ``shard_words`` words the mix is cut into."""
-    every = Window.partitionBy()
-    shards = F.greatest(F.ceil(F.sum("target").over(every) / shard_words), F.lit(1))
-    return planned.withColumn("shards", F.coalesce(shards, F.lit(1)).cast("long"))
+def _seats(divisor: Column) -> Column:
+    """How many blocks of a source have quotients of at least half the divisor."""
+    return F.least(F.floor(F.col("target") / divisor + 0.5), F.col("most"))
+
 
+def apportioned(planned: DataFrame) -> DataFrame:
+    """(source, shard, dealt): how many blocks each source has in a shard and those before.
 
-def _dealt(shard: Column, block_words: int) -> Column:
-    """Blocks of a source in the shards before ``shard``: those whose quotients come in
-    with that part of the targets."""
-    part = F.floor(F.col("target") * shard / F.col("shards") / block_words + 0.5)
-    return F.when(shard >= F.col("shards"), F.col("blocks")).otherwise(
-        F.least(part, F.col("blocks"))
+    ``planned`` is what ``with_blocks`` gives. Shard k ends after block all_blocks * (k + 1) /
+    shards. By highest quotients; of equal ones the source first by code point, null last. Blocks
+    that are certain and blocks that are out of the question follow from two divisors, as
+    rounding moves each source by half a block at most; only those between are ranked, a
+    few for each source and shard.
+    """
+    cut = planned.filter("target > 0").withColumn(
+        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))
+    )
+    house = F.call_function("div", F.col("all_blocks") * (F.col("shard") + 1), F.col("shards"))
+    cut = cut.withColumn("house", house)
+    of_shard = Window.partitionBy("shard")
+    n, weight = F.count("*").over(of_shard), F.sum("target").over(of_shard)
+    sure = F.when(F.col("house") > n / 2, _seats(weight / (F.col("house") - n / 2))).otherwise(0)
+    cut = cut.withColumn("sure", sure).withColumn("divisor", weight / (F.col("house") + n))
+    for _ in range(3):
+        # Sources at their limit leave their blocks to the others, who need a smaller divisor.
+        seats = _seats(F.col("divisor"))
+        open_ = seats < F.col("most")
+        rest = F.sum(F.when(open_, F.col("target"))).over(of_shard)
+        left = F.col("house") - F.sum(F.when(open_, 0).otherwise(F.col("most"))).over(of_shard)
+        smaller = F.try_divide(rest, F.greatest(left, F.lit(0)) + n)
+        cut = cut.withColumn("divisor", F.coalesce(F.least("divisor", smaller), F.col("divisor")))
+    cut = cut.withColumn("possible", F.greatest(_seats(F.col("divisor")), F.col("sure")))
+    cut = cut.withColumn("missing", F.col("house") - F.sum("sure").over(of_shard))
+    between = F.when(
+        F.col("possible") > F.col("sure"), F.sequence(F.col("sure") + 1, F.col("possible"))
+    )
+    seats = cut.select("source", "shard", "target", "missing", F.explode(between).alias("seat"))
+    order = Window.partitionBy("shard").orderBy(
+        F.desc(F.col("target") / (2 * F.col("seat") - 1)), F.col("source").asc_nulls_last(), "seat"
+    )
+    won = seats.withColumn("place", F.row_number().over(order)).filter(
+        F.col("place") <= F.col("missing")
     )
+    both = cut.select("source", "shard", F.col("sure").alias("dealt")).unionByName(
+        won.select("source", "shard", F.lit(1).cast("long").alias("dealt"))
+    )
+    return both.groupBy("source", "shard").agg(F.sum("dealt").alias("dealt"))
 
 
-def _shard_of(block: Column, block_words: int) -> Column:
-    """The shard that a block of a source is dealt to, by the same numbers as ``_dealt``."""
-    place = F.try_divide((block + 0.5) * block_words * F.col("shards"), F.col("target"))
-    near = F.greatest(F.least(F.ceil(place) - 1, F.col("shards") - 1), F.lit(0))
-    return (
-        F.when(_dealt(near, block_words) > block, near - 1)
-        .when(_dealt(near + 1, block_words) <= block, near + 1)
-        .otherwise(near)
+def shard_quotas(planned: DataFrame) -> DataFrame:
+    """(source, shard, first_block, blocks): each source's blocks of every shard."""
+    order = Window.partitionBy("source").orderBy("shard")
+    before = F.coalesce(F.lag("dealt").over(order), F.lit(0))
+    return apportioned(planned).select(
+        "source", "shard", before.alias("first_block"), (F.col("dealt") - before).alias("blocks")
     )
 
 
-def shard_quotas(planned: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(source, shard, first_block, blocks) of (source, target, blocks, shards), for every shard."""
-    cut = planned.withColumn(
-        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))
+def _with_ends(planned: DataFrame) -> DataFrame:
+    """Add ``ends``, the blocks of a source before the end of each shard, and ``blocks``, all."""
+    dealt = apportioned(planned).groupBy("source").agg(
+        F.sort_array(F.collect_list(F.struct("shard", "dealt"))).alias("dealt")
     )
-    first, end = (_dealt(F.col("shard") + more, block_words) for more in (0, 1))
-    return cut.select(
-        "source",
-        "shard",
-        first.cast("long").alias("first_block"),
-        (end - first).cast("long").alias("blocks"),
+    ends = dealt.select("source", F.col("dealt.dealt").alias("ends"))
+    return _join_source(planned, ends, "left").select(
+        "*",
+        F.coalesce(F.element_at("ends", -1), F.lit(0)).alias("blocks"),
+    )
+
+
+def _laid_out(rows: DataFrame) -> DataFrame:
+    """Add to rows (name, unnamed, order, exact, nth, size) the keys of their place on the line:
+    ``run`` and ``part`` of their source, and for rows that repeat too often, ``bulk`` and ``sub``.
+
+    A part has about ``BUCKET_ROWS`` rows. Equal rows are always in the same part; where they
+    are more than that, their copies are numbered and dealt to subparts of their own. Copies are
+    the same, so it does not matter which of them comes first.
+    """
+    parts = 1 + rows.count() // BUCKET_ROWS
+    place = F.shiftrightunsigned("order", 1)
+    part = F.least(F.floor(place / F.lit(2.0**63) * parts), F.lit(parts - 1)).cast("long")
+    cut = rows.withColumn("part", part)
+    crowded = most_frequent(cut, ["name", "unnamed", "part"], 4 * BUCKET_ROWS).drop("hot_n")
+    inside = cut.join(F.broadcast(crowded), ["name", "unnamed", "part"], "left_semi")
+    bulk = most_frequent(inside, ["exact"], BUCKET_ROWS).select(
+        F.col("exact").alias("bulk"), F.ceil(F.col("hot_n") / BUCKET_ROWS).cast("long").alias("subs")
     )
+    marked = cut.join(F.broadcast(bulk), F.col("exact") == F.col("bulk"), "left")
+    # The number of a copy holds its partition in the upper bits.
+    number = F.col("nth") + F.shiftright("nth", 33)
+    return marked.withColumns(
+        {
+            "run": F.call_function("div", F.col("part"), F.lit(PARTS_A_RUN)),
+            "sub": F.coalesce(F.pmod(number, F.col("subs")), F.lit(0)),
+        }
+    ).drop("subs")
+
+
+LINE = ["name", "unnamed", "run", "part", "bulk", "sub"]
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """(the keys of ``LINE``, part_size, start): where each part begins on its source's line.
+
+    Sums of parts are added up within runs of parts, and the runs one after the other.
+    """
+    sums = rows.groupBy(*LINE).agg(F.sum("size").alias("part_size"))
+    runs = sums.groupBy("name", "unnamed", "run").agg(F.sum("part_size").alias("run_size"))
+    whole = Window.partitionBy("name", "unnamed").orderBy("run")
+    runs = runs.withColumn("run_start", F.sum("run_size").over(whole) - F.col("run_size"))
+    ahead = Window.partitionBy("name", "unnamed", "run").orderBy(
+        "part", F.col("bulk").asc_nulls_first(), "sub"
+    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = F.sum("part_size").over(ahead) - F.col("part_size")
+    placed = sums.withColumn("inside", inside).join(runs, ["name", "unnamed", "run"])
+    return placed.select(*LINE, "part_size", (F.col("run_start") + F.col("inside")).alias("start"))
 
 
 def mix(
@@ -131,8 +232,8 @@ def mix(
 ) -> DataFrame:
     """Every document with its place in the mix; ``carry`` names the columns in ``row``.
 
-    Columns: row (struct), source, size (words), source_size, target, blocks (the source's
-    quota), spans: an array of (epoch, first_block, last_block, first_shard, last_shard,
+    Columns: row (struct), source, size (words), source_size, target, block (words of a
+    block), blocks (the source's quota), spans: an array of (epoch, first_block, last_block, first_shard, last_shard,
     words), one for each time that the document, or its first ``words`` words, is taken;
     the shards are those to which the first and the last block are dealt. Null texts have no
     words and are never taken; a null source is a source. Rows that repeat a document
@@ -142,69 +243,86 @@ def mix(
     A source of any size is laid out in parts of about ``BUCKET_ROWS`` rows; only sums
     of these parts and of the sources are ever brought together.
     """
-    columns = [F.col(f"`{name}`") for name in carry] if carry else ["*"]
+    columns = [F.col(f"`{name}`") for name in carry or docs.columns]
     text = F.coalesce("text", F.lit(""))
+    # Stored, so that words are counted once and the numbers of copies never change.
     rows = docs.select(
         F.struct(*columns).alias("row"),
         F.col("source"),
-        F.coalesce("source", F.lit("")).alias("name"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.xxhash64(F.lit(seed), F.col("doc_id"), text).alias("order"),
         F.col("doc_id").alias("tie"),
+        F.monotonically_increasing_id().alias("nth"),
     )
-    parts = 1 + docs.count() // BUCKET_ROWS
-    place = F.shiftrightunsigned("order", 1)
-    part = F.least(F.floor(place / F.lit(2.0**63) * parts), F.lit(parts - 1))
-    rows = rows.withColumn("part", part.cast("long")).withColumn(
-        "unnamed", F.col("source").isNull()
+    rows = stored(rows, "sized-documents").withColumns(
+        {
+            "name": F.coalesce("source", F.lit("")),
+            "unnamed": F.col("source").isNull(),
+            "exact": F.xxhash64("order", "row"),
+        }
     )
+    rows = _laid_out(rows)
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    planned = with_blocks(targets(sizes, weights, cap), block_words, shard_words, cap)
+    planned = _with_ends(planned)
+
+    named = _starts(rows).withColumn("source", F.when(~F.col("unnamed"), F.col("name")))
+    epochs = F.sequence(F.lit(0).cast("long"), F.lit(math.ceil(cap) - 1).cast("long"))
+
+    def near(epoch: Column) -> Column:
+        """The shard in which a part begins, and the ends of shards within the part."""
+        start = F.col("start") + epoch * F.col("source_size")
+        low = F.floor(start / F.col("block"))
+        high = F.floor((start + F.col("part_size")) / F.col("block"))
+        return F.struct(
+            F.size(F.filter("ends", lambda end: end <= low)).cast("long").alias("shard"),
+            F.filter("ends", lambda end: (end > low) & (end <= high)).alias("ends"),
+        )
 
-    keys = ["name", "unnamed", "part"]
-    sums = rows.groupBy(*keys).agg(F.sum("size").alias("part_size"))
-    sums = sums.withColumn("source", F.when(~F.col("unnamed"), F.col("name")))
-    sizes = sums.groupBy("source").agg(F.sum("part_size").alias("source_size"))
-    planned = targets(sizes, weights, cap).withColumn(
-        "blocks", quota(F.col("target"), F.col("source_size"), block_words, cap)
-    )
-    planned = with_shards(planned, shard_words)
-    ahead = Window.partitionBy("name", "unnamed").orderBy("part")
-    starts = sums.withColumn(
-        "start", F.coalesce(F.sum("part_size").over(ahead.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    )
-    starts = _join_source(starts, planned, "inner").select(
-        *keys, "start", "source_size", "target", "blocks", "shards"
+    starts = _join_source(named, planned, "inner").select(
+        *LINE, "start", "source_size", "target", "block", "blocks", F.transform(epochs, near).alias("near")
     )
 
-    within = Window.partitionBy(*keys).orderBy(F.shiftrightunsigned("order", 1), "order", "tie")
-    inside = F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1))
-    laid = rows.withColumn("inside", F.coalesce(inside, F.lit(0))).join(starts, keys)
-
-    first = F.col("start") + F.col("inside")
-    taken = F.col("blocks") * block_words
+    within = Window.partitionBy(*LINE).orderBy(F.shiftrightunsigned("order", 1), "order", "tie", "exact")
+    before = F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1))
+    same = F.lit(True)
+    laid = rows.withColumn("before", F.coalesce(before, F.lit(0)))
+    there = starts.select(*[F.col(key).alias(f"{key}_at") for key in LINE], *starts.columns[len(LINE):])
+    for key in LINE:
+        same &= F.col(key).eqNullSafe(F.col(f"{key}_at"))
+    laid = laid.join(there, same)
+
+    first = F.col("start") + F.col("before")
+    taken = F.col("blocks") * F.col("block")
     last_epoch = F.floor((taken - 1) / F.col("source_size"))
 
+    def shard_of(block: Column, epoch: Column) -> Column:
+        known = F.get("near", epoch.cast("int"))
+        return known["shard"] + F.size(F.filter(known["ends"], lambda end: end <= block))
+
     def span(epoch: Column) -> Column:
         start = first + epoch * F.col("source_size")
         words = F.least(F.col("size"), taken - start)
-        first_block = F.floor(start / block_words)
-        last_block = F.floor((start + words - 1) / block_words)
+        first_block = F.floor(start / F.col("block"))
+        last_block = F.floor((start + words - 1) / F.col("block"))
         return F.struct(
             epoch.cast("int").alias("epoch"),
             first_block.alias("first_block"),
             last_block.alias("last_block"),
-            _shard_of(first_block, block_words).alias("first_shard"),
-            _shard_of(last_block, block_words).alias("last_shard"),
+            shard_of(first_block, epoch).alias("first_shard"),
+            shard_of(last_block, epoch).alias("last_shard"),
             words.alias("words"),
         )
 
-    epochs = F.when(taken > 0, F.sequence(F.lit(0).cast("long"), last_epoch))
-    spans = F.filter(F.transform(epochs, span), lambda s: s["words"] > 0)
+    taken_in = F.when(taken > 0, F.sequence(F.lit(0).cast("long"), last_epoch))
+    spans = F.filter(F.transform(taken_in, span), lambda s: s["words"] > 0)
     return laid.select(
         "row",
         "source",
         "size",
         "source_size",
         "target",
+        "block",
         "blocks",
         F.coalesce(spans, F.array().cast(_SPANS)).alias("spans"),
     )

@@ -76,11 +76,13 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 WEIGHTS = [5, 2, 1]
+SHARD_WORDS = 1 << 17
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    mixed = mixing.mix(docs, mixing.cyclic_weights(docs, WEIGHTS), carry=["doc_id"])
+    weights = mixing.cyclic_weights(docs, WEIGHTS)
+    mixed = mixing.mix(docs, weights, shard_words=SHARD_WORDS, carry=["doc_id"])
     return mixed.select(
         "row.doc_id",
         "size",
@@ -244,4 +246,33 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
         FROM ranked WHERE place <= 5
     """,
+    "op8_pivot_index": """
+        WITH RECURSIVE vectors AS (
+            SELECT row_number() OVER () AS nth, vec_id, CAST(embedding AS DOUBLE[]) AS v
+            FROM embeddings
+        ),
+        usable AS (
+            SELECT * FROM vectors
+            WHERE v IS NOT NULL AND vec_id IS NOT NULL
+                AND len([x FOR x IN v IF x IS NULL OR NOT isfinite(x)]) = 0
+                AND len([x FOR x IN v IF x <> 0]) > 0
+        ),
+        links AS (
+            SELECT a.nth AS a, b.nth AS b, b.vec_id
+            FROM usable a JOIN usable b ON a.nth <> b.nth AND len(a.v) = len(b.v)
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+        ),
+        reached(a, b) AS (
+            SELECT nth, nth FROM vectors
+            UNION
+            SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+        ),
+        least AS (
+            SELECT r.a, min(v.vec_id) AS component_id
+            FROM reached r JOIN vectors v ON r.b = v.nth GROUP BY r.a
+        )
+        SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.nth) AS n_links,
+            c.component_id, v.vec_id IS NOT DISTINCT FROM c.component_id AS kept
+        FROM vectors v JOIN least c ON v.nth = c.a
+    """,
 }

@@ -271,29 +271,91 @@ def test_mix_of_the_smallest_table_and_its_parts(spark, sf_dir, monkeypatch) ->
     check_mix(mixed(docs, [5, 2, 1]).collect(), docs_of, [5, 2, 1])
 
 
-def test_shards_get_their_part_of_every_source(spark) -> None:
-    planned = spark.createDataFrame([("a", 640.0, 20), ("b", 320.0, 10)], "source string, target double, blocks long")
-    found = mixing.shard_quotas(mixing.with_shards(planned, shard_words=240)).collect()
-    assert {(r.source, r.shard): r.blocks for r in found} == {
-        (s, p): n for s, n in (("a", 5), ("b", 3)) for p in range(4)
-    } | {("b", p): n for p, n in enumerate([3, 2, 3, 2])}
-    for r in found:
-        assert r.first_block == sum(o.blocks for o in found if o.source == r.source and o.shard < r.shard)
+def brute_quotas(targets: dict, most: dict, seats: int) -> dict:
+    """Highest quotients, one block after the other; ties to the first source, null last."""
+    got = dict.fromkeys(targets, 0)
+    names = sorted(targets, key=lambda s: (s is None, (s or "").encode()))
+    for _ in range(seats):
+        open_ = [s for s in names if got[s] < most[s] and targets[s] > 0]
+        if not open_:
+            break
+        got[max(open_, key=lambda s: targets[s] / (2 * got[s] + 1))] += 1
+    return got
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_quotas_are_those_of_highest_quotients(spark, seed) -> None:
+    random = np.random.default_rng(seed)
+    names = [None, *[f"s{i}" for i in range([3, 12, 40, 25][seed])]]
+    sizes = {s: int(n) for s, n in zip(names, random.integers(1, [50, 3000, 40, 9000][seed], len(names)), strict=True)}
+    if seed == 3:
+        sizes["s0"] = 200_000
+    total = sum(sizes.values())
+    weight = {s: float(w) for s, w in zip(names, random.choice([5, 2, 1, 0.01, 0], len(names)), strict=True)}
+    rows = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, source_size long")
+    weights = spark.createDataFrame([(s, w) for s, w in weight.items()], "source string, weight double")
+    planned = mixing.with_blocks(mixing.targets(rows, weights), 32, total // 7)
+    plan = planned.collect()
+    targets, most = {r.source: r.target for r in plan}, {r.source: r.most for r in plan}
+    shards, every = plan[0].shards, plan[0].all_blocks
+    assert shards >= 6
+    found = mixing.shard_quotas(planned).collect()
+    before = dict.fromkeys(targets, 0)
+    for shard in range(shards):
+        dealt = brute_quotas(targets, most, every * (shard + 1) // shards)
+        here = {r.source: (r.first_block, r.blocks) for r in found if r.shard == shard}
+        assert here == {s: (before[s], dealt[s] - before[s]) for s in targets if targets[s] > 0}
+        before = dealt
+
+
+def test_many_small_sources_keep_the_size_of_the_mix(spark) -> None:
+    rows = [(i, " ".join(["w"] * 10), f"s{i:03}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixed(docs, [5, 2, 1]).collect()
+    check_mix(found, {f"s{i:03}": [10] for i in range(300)}, [5, 2, 1])
+    assert abs(sum(r.taken for r in found) - 3000) <= 1
 
 
-def test_blocks_of_the_mix_lie_in_their_shards(spark, sf_dir) -> None:
+def test_equal_rows_are_dealt_to_many_parts(spark) -> None:
+    repeated, others = 60_000, 4_000
+    docs = spark.range(0, repeated + others, 1, 4).select(
+        F.when(F.col("id") < repeated, 1).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") < repeated, "the same words").otherwise(F.concat(F.lit("a word "), "id")).alias("text"),
+        F.lit("a").alias("source"),
+    )
+    rows = docs.select(
+        F.col("source").alias("name"), F.lit(False).alias("unnamed"), F.lit(3).cast("long").alias("size"),
+        F.xxhash64("doc_id", "text").alias("order"), F.xxhash64("text").alias("exact"),
+        F.monotonically_increasing_id().alias("nth"),
+    )
+    counts = [r["count"] for r in mixing._laid_out(rows).groupBy(*mixing.LINE).count().collect()]
+    assert sum(counts) == repeated + others
+    assert max(counts) < 3 * mixing.BUCKET_ROWS
+    found = mixed(docs, [1]).agg(F.sum("taken").alias("taken"), F.max("taken").alias("most")).first()
+    assert found.taken == 3 * (repeated + others)
+    assert found.most <= 9
+
+
+def test_blocks_of_the_mix_lie_in_their_shards(spark, sf_dir, monkeypatch) -> None:
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 7)
+    monkeypatch.setattr(mixing, "PARTS_A_RUN", 3)
     docs = table(spark, sf_dir, "documents")
-    found = mixing.mix(docs, mixing.cyclic_weights(docs, [5, 2, 1]), shard_words=997, carry=["doc_id"])
-    planned = mixing.with_shards(found.select("source", "target", "blocks").distinct(), 997)
+    weights = mixing.cyclic_weights(docs, [5, 2, 1])
+    found = mixing.mix(docs, weights, shard_words=997, carry=["doc_id"])
+    sizes = found.groupBy("source").agg(F.sum("size").alias("source_size"))
+    planned = mixing.with_blocks(mixing.targets(sizes, weights), shard_words=997)
     starts: dict = {}
     for r in mixing.shard_quotas(planned).collect():
         starts.setdefault(r.source, []).append((r.first_block, r.first_block + r.blocks, r.shard))
     assert all(len(parts) > 10 for parts in starts.values())
-    spans = found.select("source", F.explode("spans").alias("s")).select("source", "s.*").collect()
-    for r in spans:
+    rows = found.select("source", "block", "blocks", F.explode("spans").alias("s")).select("source", "block", "blocks", "s.*").collect()
+    covered: dict = {}
+    for r in rows:
+        covered[r.source] = covered.get(r.source, 0) + r.words
         for block, shard in ((r.first_block, r.first_shard), (r.last_block, r.last_shard)):
             assert [n for low, end, n in starts[r.source] if low <= block < end] == [shard]
-    assert {r.source for r in spans} == {source for source, parts in starts.items() if parts[-1][1]}
+    quota = {r.source: r.block * r.blocks for r in rows}
+    assert covered == quota == {s: max(end for _, end, _ in parts) * rows[0].block for s, parts in starts.items()}
 
 
 # Language model
