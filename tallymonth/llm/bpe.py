@@ -33,8 +33,13 @@ from tallymonth.llm.common import texts
 MAX_VOCABULARY_BYTES = 64 << 20
 SHORT = 48
 CACHED_WORDS = 500_000
+CACHED_CHARACTERS = 16 << 20
 CHUNK = 1 << 20
 
+# A part of a very long text, up to the next white space as Unicode has it: Python's own \s
+# takes in control characters that are no white space to the vocabulary.
+PART = regex.compile(rf"(?s).{{1,{CHUNK}}}\P{{White_Space}}*")
+
 NEVER = 1 << 62
 ID_BITS = 32
 MERGED = (1 << ID_BITS) - 1
@@ -99,6 +104,7 @@ class Coder:
         self.library = Tokenizer.from_str(file_text)
         self.byte_of = {letter: byte for byte, letter in enumerate(letters)}
         self.cache: dict[str, bytes] = {}
+        self.cached_characters = 0
 
     def _parts(self, words: list[str]) -> np.ndarray:
         """The bytes' ids of words of one length, a row each."""
@@ -185,9 +191,12 @@ class Coder:
         """Ids of texts that are split; their new words are merged together."""
         words = {word for pieces in split for part in pieces[::2] for word in part}
         new = words.difference(self.cache)
-        if len(self.cache) + len(new) > CACHED_WORDS:
+        more = sum(map(len, new))
+        if len(self.cache) + len(new) > CACHED_WORDS or self.cached_characters + more > CACHED_CHARACTERS:
             self.cache.clear()
-            new = words
+            new, self.cached_characters = words, 0
+            more = sum(map(len, new))
+        self.cached_characters += more
         self._learn(new)
         ids_of, coded = self.cache.__getitem__, []
         for pieces in split:
@@ -205,10 +214,7 @@ class Coder:
         return [
             np.concatenate(
                 [np.empty(0, "<u4")]
-                + [
-                    self._encode_pieces([self._pieces(m.group())])[0]
-                    for m in re.finditer(rf"(?s).{{1,{CHUNK}}}\S*", text)
-                ]
+                + [self._encode_pieces([self._pieces(m.group())])[0] for m in PART.finditer(text)]
             )
             for text in batch
         ]
@@ -253,7 +259,9 @@ def coded(docs: DataFrame, path: str, outputs: list[str]) -> DataFrame:
     Outputs: ``n_tokens``, ``ids``, ``decoded``, and SHA-256 of the ids as little-endian
     32-bit integers (``ids_sha256``) and of the decoded text (``decoded_sha256``). A
     null or empty text has no ids and decodes to the empty text. One row for each
-    row, repeated ones too; no shuffle.
+    row, repeated ones too; an empty table gives an empty result; other columns are not read,
+    so their names may be any. Texts of any length are coded whole, in parts that end
+    before white space. No shuffle.
     """
     rows = texts(docs)
     kind = rows.schema["doc_id"].dataType.simpleString()
