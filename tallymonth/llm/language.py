@@ -33,6 +33,7 @@ MARGIN_LIMIT = 3.0
 AMBIGUOUS_BELOW = 0.01
 UNDETERMINED = "und"
 CHUNK = 1 << 19
+MOST_LANGUAGES = 1_000
 
 # Odd multipliers that spread the characters of an n-gram over the buckets.
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -46,26 +47,36 @@ def _letters() -> np.ndarray:
 def ngrams(text: str) -> Iterator[np.ndarray]:
     """Buckets of a text's lower-cased letter n-grams, a bounded part of it at a time.
 
-    All that is no letter counts as one blank; n-grams of blanks alone are left out.
+    All that is no letter counts as one blank, and so do both ends; n-grams of blanks alone
+    are left out. The last characters of a part go before the next one, so that where a text
+    is cut makes no difference.
     """
-    for start in range(0, len(text), CHUNK):
-        part = text[max(0, start - 2) : start + CHUNK].lower()
-        codes = np.frombuffer(f" {part} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    whole = f" {text.lower()} "
+    tail, tail_letter, after_letter = np.empty(0, np.uint64), np.empty(0, bool), True
+    for start in range(0, len(whole), CHUNK):
+        part = whole[start : start + CHUNK].encode("utf-32-le", "surrogatepass")
+        codes = np.frombuffer(part, np.uint32)
         letter = _letters()[codes]
         codes = np.where(letter, codes, 32)
         keep = letter.copy()
         keep[1:] |= letter[:-1]
-        keep[0] = True
-        codes, letter = codes[keep].astype(np.uint64) + np.uint64(1), letter[keep]
+        keep[0] |= after_letter
+        after_letter, seen = bool(letter[-1]), len(tail)
+        codes = np.concatenate([tail, codes[keep].astype(np.uint64) + np.uint64(1)])
+        letter = np.concatenate([tail_letter, letter[keep]])
+        longest = ORDERS[-1] - 1
+        tail, tail_letter = codes[-longest:], letter[-longest:]
         if not letter.any():
             continue
         for order in ORDERS:
-            if len(codes) < order:
+            # N-grams that end in the tail were counted with the part before.
+            first = max(0, seen - order + 1)
+            size = len(codes) - order + 1 - first
+            if size <= 0:
                 continue
-            size = len(codes) - order + 1
             mixed, some = np.full(size, order, np.uint64), np.zeros(size, bool)
-            for place in range(order):
-                mixed = (mixed + codes[place : place + size]) * MULTIPLIERS[place]
+            for place in range(first, first + order):
+                mixed = (mixed + codes[place : place + size]) * MULTIPLIERS[place - first]
                 some |= letter[place : place + size]
             yield (mixed >> np.uint64(64 - 16))[some].astype(np.int64)
 
@@ -119,11 +130,16 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang") ->
     """A model from every row whose label is not null; the text may be.
 
     One pass: tasks sum n-gram counts by language, a shuffle adds these up. The driver gets
-    ``BUCKETS`` sums a language at most. Languages without any letter are not learned.
+    ``BUCKETS`` sums a language at most, so more than ``MOST_LANGUAGES`` labels are refused: a
+    column of so many is no language. Languages without any letter are not learned; an empty
+    table gives a model without languages.
     """
     rows = labelled.select(
         F.col(label_col).alias("label"), F.col(text_col).alias("text")
     ).filter("label is not null and text is not null")
+    labels = rows.select("label").distinct().limit(MOST_LANGUAGES + 1).count()
+    if labels > MOST_LANGUAGES:
+        raise ValueError(f"column {label_col} has more than {MOST_LANGUAGES} labels")
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -176,7 +192,8 @@ def predictions(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row: doc_id, lang_pred, score (0 to 1), ambiguous.
 
     Only the text is looked at. A null text, or one without a letter, is ``und`` with
-    score 0, and so is every text if nothing was learned.
+    score 0, and so is every text if nothing was learned. Texts of any length are read whole.
+    Repeated rows have a row each, an empty table gives none; other columns may have any name.
     """
     rows = texts(docs)
     kind = rows.schema["doc_id"].dataType.simpleString()
