@@ -1,8 +1,11 @@
 """Brown class-based bigram language model.
 
-Words are assigned to classes by exchange: in every round each word moves to the class
-in which the training text becomes likeliest, the other words staying where they are.
-A token's probability is that of its class after the class before it, times that of the
+Words are assigned to classes by exchange. In every round the class is found for each word in
+which the training text would become likeliest, were the other words to stay where they are.
+As many words move at once, their gains need not add up: so several shares of the moves, those of
+the largest gains first, are tried, the likelihood of the whole training text is counted for
+each, and the best one is taken. If none raises the likelihood, exchange ends: it
+never falls. A token's probability is that of its class after the class before it, times that of the
 word in its class, mixed with the smoothed unigram probability.
 
 Words that make up at least ``FREQUENT`` of all tokens move on their own; there are at
@@ -17,6 +20,7 @@ log10(count + 1) over its tokens and of one number for each pair of adjacent cla
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -34,7 +38,12 @@ from tallymonth.llm.common import stored, texts, word_lists
 FREQUENT = 2e-5
 ENDINGS = 1024
 CLASSES = 64
-ROUNDS = 8
+ROUNDS = 6
+
+# Shares of the moves that are tried together.
+SHARES = [1, 1 / 2, 1 / 4, 1 / 8, 1 / 16, 1 / 32, 1 / 128, 1 / 512]
+LEAST_GAIN = 1e-5
+LONGEST_CACHED = 64
 CLASS_SHARE = 0.9
 TRANSITION_SMOOTHING = 0.1
 CACHED_WORDS = 100_000
@@ -52,7 +61,7 @@ class Units(dict):
 
     def __missing__(self, word: bytes) -> int:
         unit = self.own + zlib.crc32(word[-2:]) % ENDINGS
-        if len(self) < self.full:
+        if len(self) < self.full and len(word) <= LONGEST_CACHED:
             self[word] = unit
         return unit
 
@@ -71,6 +80,7 @@ class Model:
     pair: np.ndarray  # log10 of what a class after a class contributes to a token
     tokens: int
     words: int  # distinct tokens
+    likelihoods: tuple[float, ...] = ()  # of the classes, before and after each round
 
     @property
     def base(self) -> float:
@@ -121,14 +131,13 @@ def _sequences(docs: DataFrame, units: Units) -> DataFrame:
 
 def _neighbours(sequences: DataFrame, class_of: np.ndarray, classes: int) -> DataFrame:
     """(unit, context, n): how often a unit follows (context below ``classes``) or precedes
-    (from there on) a class; under unit -1 - c, how often class ``context`` follows c."""
+    (from there on) a class."""
     sent = sequences.sparkSession.sparkContext.broadcast(class_of)
     width = 2 * classes
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         class_of = sent.value
         sums = np.zeros(len(class_of) * width, np.int64)
-        pairs = np.zeros(classes * classes, np.int64)
         for part in parts:
             units = part.column("units").flatten().to_numpy()
             if not len(units):
@@ -139,32 +148,28 @@ def _neighbours(sequences: DataFrame, class_of: np.ndarray, classes: int) -> Dat
             # A text's last token precedes the next text's first; the end token absorbs it.
             place = units[:-1].astype(np.int64) * width + classes + after[1:]
             sums += np.bincount(place, minlength=len(sums))
-            pairs += np.bincount(before.astype(np.int64) * classes + after, minlength=len(pairs))
-        there, two = np.flatnonzero(sums), np.flatnonzero(pairs)
-        columns = {
-            "unit": np.concatenate([there // width, -1 - two // classes]),
-            "context": np.concatenate([there % width, two % classes]),
-            "n": np.concatenate([sums[there], pairs[two]]),
-        }
-        yield pa.RecordBatch.from_pydict(columns)
+        there = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_pydict(
+            {"unit": there // width, "context": there % width, "n": sums[there]}
+        )
 
     counted = sequences.mapInArrow(count, "unit long, context long, n long")
     return counted.groupBy("unit", "context").agg(F.sum("n").alias("n"))
 
 
-def _class_pairs(neighbours: DataFrame, classes: int) -> np.ndarray:
-    pairs = np.zeros((classes, classes))
-    for row in neighbours.filter("unit < 0").collect():
-        pairs[-1 - row["unit"], row["context"]] = row["n"]
-    return pairs
-
-
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def _moves(neighbours: DataFrame, pairs: np.ndarray, class_of: np.ndarray, turn: int) -> DataFrame:
-    """(unit, class): the best class of every second unit, by the likelihood it gains."""
+def likelihood(pairs: np.ndarray) -> float:
+    """What the classes add to the log likelihood of the training text."""
+    return float(
+        _xlogx(pairs).sum() - _xlogx(pairs.sum(axis=1)).sum() - _xlogx(pairs.sum(axis=0)).sum()
+    )
+
+
+def _moves(neighbours: DataFrame, pairs: np.ndarray, class_of: np.ndarray) -> pd.DataFrame:
+    """(unit, class, gain) of the units that another class suits better, one row a unit."""
     classes = len(pairs)
     sent = neighbours.sparkSession.sparkContext.broadcast((pairs, class_of))
 
@@ -175,7 +180,7 @@ def _moves(neighbours: DataFrame, pairs: np.ndarray, class_of: np.ndarray, turn:
         seen[place, group["context"]] = group["n"]
         before, after = seen[:, :classes], seen[:, classes:]
         out, into = pairs.sum(axis=1), pairs.sum(axis=0)
-        best = []
+        best, gains = [], []
         for row, unit in enumerate(units):
             here, left, right = class_of[unit], before[row], after[row]
             rows, columns, sent_out, got = pairs.copy(), pairs.T.copy(), out.copy(), into.copy()
@@ -189,14 +194,76 @@ def _moves(neighbours: DataFrame, pairs: np.ndarray, class_of: np.ndarray, turn:
             gain -= _xlogx(got + left.sum()) - _xlogx(np.maximum(got, 0))
             gain = gain[:-1]  # the end token's class is its own
             to = int(gain.argmax())
-            best.append(to if gain[to] > gain[here] + 1e-9 else int(here))
-        return pd.DataFrame({"unit": units, "class": best})
+            best.append(to)
+            gains.append(float(gain[to] - gain[here]))
+        found = pd.DataFrame({"unit": units, "class": best, "gain": gains})
+        return found[found["gain"] > 1e-9]
 
     end = len(class_of) - 1
-    turns = neighbours.filter((F.col("unit") >= 0) & (F.col("unit") < end) & (F.col("unit") % 2 == turn % 2))
-    return turns.groupBy(F.floor(F.col("unit") / UNITS_A_TASK)).applyInPandas(
-        move, "unit long, class long"
+    units = neighbours.filter((F.col("unit") >= 0) & (F.col("unit") < end))
+    found = units.groupBy(F.floor(F.col("unit") / UNITS_A_TASK)).applyInPandas(
+        move, "unit long, class long, gain double"
     )
+    return found.toPandas()
+
+
+def _pairs_by_map(sequences: DataFrame, maps: list[np.ndarray], classes: int) -> list[np.ndarray]:
+    """The counts of adjacent classes under each of several assignments, in one pass."""
+    sent = sequences.sparkSession.sparkContext.broadcast(maps)
+
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps = sent.value
+        sums = np.zeros((len(maps), classes * classes), np.int64)
+        for part in parts:
+            units = part.column("units").flatten().to_numpy()
+            if not len(units):
+                continue
+            for total, class_of in zip(sums, maps, strict=True):
+                after = class_of[units]
+                before = np.concatenate([class_of[-1:], after[:-1]])
+                total += np.bincount(before * classes + after, minlength=len(total))
+        which, pair = np.nonzero(sums)
+        yield pa.RecordBatch.from_pydict({"map": which, "pair": pair, "n": sums[which, pair]})
+
+    counted = sequences.mapInArrow(count, "map long, pair long, n long")
+    pairs = np.zeros((len(maps), classes * classes))
+    for row in counted.groupBy("map", "pair").agg(F.sum("n").alias("n")).collect():
+        pairs[row["map"], row["pair"]] = row["n"]
+    return list(pairs.reshape(len(maps), classes, classes))
+
+
+def exchange(
+    sequences: DataFrame, class_of: np.ndarray, classes: int, rounds: int
+) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """(class of each unit, counts of adjacent classes, likelihoods) after at most ``rounds``.
+
+    The driver holds the units' classes and what they gain, which the number of units bounds.
+    """
+    (pairs,) = _pairs_by_map(sequences, [class_of], classes)
+    likelihoods = [likelihood(pairs)]
+    for _ in range(rounds):
+        neighbours = stored(_neighbours(sequences, class_of, classes), "neighbours")
+        moves = _moves(neighbours, pairs, class_of).sort_values(["gain", "unit"], ascending=[False, True])
+        if moves.empty:
+            break
+        # Moves to one class hinder each other most, so every class gets its best ones first.
+        turn = moves.groupby("class").cumcount()
+        moves = moves.iloc[np.lexsort((np.arange(len(moves)), turn))]
+        maps = []
+        for size in sorted({math.ceil(len(moves) * share) for share in SHARES}):
+            maps.append(class_of.copy())
+            maps[-1][moves["unit"].to_numpy()[:size]] = moves["class"].to_numpy()[:size]
+        tried = _pairs_by_map(sequences, maps, classes)
+        values = [likelihood(one) for one in tried]
+        best = int(np.argmax(values))
+        if values[best] <= likelihoods[-1]:
+            break
+        gained = values[best] - likelihoods[-1]
+        class_of, pairs = maps[best], tried[best]
+        likelihoods.append(values[best])
+        if gained < LEAST_GAIN * abs(values[best]):
+            break
+    return class_of, pairs, likelihoods
 
 
 def fit(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
@@ -218,13 +285,7 @@ def fit(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[
     class_of = np.arange(own + ENDINGS + 1, dtype=np.int64) % (classes - 1)
     class_of[-1] = classes - 1
     sequences = stored(_sequences(docs, units), "unit-sequences")
-    for turn in range(rounds):
-        neighbours = stored(_neighbours(sequences, class_of, classes), "neighbours")
-        pairs = _class_pairs(neighbours, classes)
-        moved = _moves(neighbours, pairs, class_of, turn).toPandas()
-        class_of = class_of.copy()
-        class_of[moved["unit"]] = moved["class"]
-    pairs = _class_pairs(_neighbours(sequences, class_of, classes), classes)
+    class_of, pairs, likelihoods = exchange(sequences, class_of, classes, rounds)
 
     rare = counted.filter(~often)
     ending = F.pmod(F.crc32(F.expr("substring(word, -2, 2)")), F.lit(ENDINGS))
@@ -239,7 +300,7 @@ def fit(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[
     emission = 1 / np.maximum(into + types + unknown, 1)
     pair = CLASS_SHARE * follows * emission + (1 - CLASS_SHARE) / (tokens + words + ENDINGS)
     counts = np.array([-count for count, _ in frequent] + [texts_seen])
-    return Model(units, counts, class_of, np.log10(pair), tokens, words), rare
+    return Model(units, counts, class_of, np.log10(pair), tokens, words, tuple(likelihoods)), rare
 
 
 _SCORED = "word binary, n long, n_tokens long, n_known long, counts double, pairs double"
@@ -310,7 +371,9 @@ def scores(docs: DataFrame, model: Model, rare: DataFrame, held_out: Column) ->
 
     Scores are log10 probabilities: ``base_score`` of the smoothed unigram model,
     ``score`` of the class model; score / n_tokens gives the perplexity. A null or empty text
-    is its end token alone. Rows that repeat id and text have one row each.
+    is its end token alone. Rows that repeat id and text have one row each; an empty table gives
+    none. Texts of any length are scored whole, a bounded list of words at a time; other
+    columns are not read but for ``held_out``, so their names may be any.
     """
     parts = _parts(docs, model, held_out)
     counts = rare.select(F.col("word").alias("rare_word"), F.col("n").alias("seen"))
