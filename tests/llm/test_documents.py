@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -182,9 +186,97 @@ def test_each_word_form_is_coded_as_by_the_library() -> None:
         assert coder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("size", [1, 4, 9])
+def test_ids_do_not_depend_on_where_a_long_text_is_cut(monkeypatch, size) -> None:
+    coder, library = bpe.Coder(bpe.read_vocabulary(VOCABULARY)), Tokenizer.from_file(VOCABULARY)
+    monkeypatch.setattr(bpe, "CHUNK", size)
+    monkeypatch.setattr(bpe, "PART", regex.compile(rf"(?s).{{1,{size}}}\P{{White_Space}}*"))
+    spaces = [*range(0x21), 0x7F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]
+    for code in spaces:
+        for text in ("!" * 9 + chr(code) + "!!!! ab", f"It's{chr(code)}{chr(code)}12 <|endoftext|>{chr(code)}e\u0301x"):
+            assert coder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, hex(code)
+
+
+def test_a_text_beyond_a_part_has_the_librarys_ids() -> None:
+    coder, library = bpe.Coder(bpe.read_vocabulary(VOCABULARY)), Tokenizer.from_file(VOCABULARY)
+    text = "!" * 2**20 + "\x1c!!!! ab"
+    assert coder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_cached_words_are_bounded_by_their_length(monkeypatch) -> None:
+    monkeypatch.setattr(bpe, "CACHED_CHARACTERS", 300)
+    coder, library = bpe.Coder(bpe.read_vocabulary(VOCABULARY)), Tokenizer.from_file(VOCABULARY)
+    for i in range(60):
+        text = f"word{i} " + "x" * i * 3
+        assert coder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert sum(map(len, coder.cache)) <= 300 + len(text)
+
+
 # Language
 
 
+def brute_ngrams(text: str) -> list[str]:
+    """The letter n-grams as strings: runs of anything else are one blank, as are both ends."""
+    plain = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+    plain = re.sub(" +", " ", plain)
+    return [g for n in (1, 2, 3) for g in (plain[i : i + n] for i in range(len(plain) - n + 1)) if g.strip()]
+
+
+def buckets(text: str) -> Counter:
+    return Counter(itertools.chain.from_iterable(part.tolist() for part in language.ngrams(text)))
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 64])
+def test_ngrams_do_not_depend_on_where_a_text_is_cut(monkeypatch, size) -> None:
+    texts = ["", "a", "ab", "  ab  cd ", "1a2b33c", "Der Hund, schläft. Über ΑΣ ΑΣΑ!", "12 34", "x" * 40, "a b " * 9]
+    whole = [buckets(text) for text in texts]
+    monkeypatch.setattr(language, "CHUNK", size)
+    assert [buckets(text) for text in texts] == whole
+    for text, found in zip(texts, whole, strict=True):
+        assert sum(found.values()) == len(brute_ngrams(text))
+        assert len(found) == len(set(brute_ngrams(text)))
+
+
+def test_decoding_is_brute_force() -> None:
+    """Two languages, one bit by hand; then every codeword's loss, one bit after the other."""
+    texts = {"aa": "abab abba", "bb": "cdcd dccd", "cc": "abcd dcba", "dd": "efgh abef"}
+    rows = [(label, bucket, n) for label, text in texts.items() for bucket, n in buckets(text).items()]
+    model = language.from_counts(pd.DataFrame(rows, columns=["label", "bucket", "n"]))
+    share = {}
+    for label, text in texts.items():
+        counts = buckets(text)
+        total = sum(counts.values()) + language.SMOOTHING * language.BUCKETS
+        share[label] = {b: (n + language.SMOOTHING) / total for b, n in counts.items()}, language.SMOOTHING / total
+    probe = "abba cdcd gh"
+    losses = []
+    for place, label in enumerate(model.languages):
+        loss = 0.0
+        for bit in range(model.code.shape[1]):
+            sides = {side: [x for x, c in zip(model.languages, model.code[:, bit], strict=True) if c == side] for side in (1, -1)}
+
+            def mean(bucket: int, side: int) -> float:
+                return np.mean([share[x][0].get(bucket, share[x][1]) for x in sides[side]])
+
+            odds = [math.log(mean(b, 1) / mean(b, -1)) for b in buckets(probe).elements()]
+            value = (np.mean(odds) - model.middle[bit]) / model.spread[bit]
+            value = min(max(value, -language.MARGIN_LIMIT), language.MARGIN_LIMIT)
+            loss += math.exp(-value * model.code[place, bit]) * model.spread[bit] / sum(model.spread)
+        losses.append(loss)
+    label, score, doubt = model.predict(probe)
+    assert label == model.languages[int(np.argmin(losses))]
+    weights = [math.exp(-language.SHARPNESS * (x - min(losses))) for x in losses]
+    assert score == pytest.approx(1 / sum(weights), rel=1e-4)
+    assert doubt == (sorted(losses)[1] - min(losses) < language.AMBIGUOUS_BELOW)
+
+
+def test_a_column_of_too_many_labels_is_refused(spark, monkeypatch) -> None:
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 3)
+    rows = [(f"text {i}", f"l{i % 4}") for i in range(9)]
+    with pytest.raises(ValueError, match="column tongue has more than 3 labels"):
+        language.fit(spark.createDataFrame(rows, "text string, tongue string"), label_col="tongue")
+    assert language.fit(spark.createDataFrame(rows, "text string, lang string").filter("lang < 'l3'")).languages == ["l0", "l1", "l2"]
+
+
 def test_languages(spark, sf_dir, docs) -> None:
     found = {(r.doc_id, r.held_out): r for r in queries.op10_language_id(spark, sf_dir).collect()}
     labels = {r.doc_id: r.lang for r in table(spark, sf_dir, "documents").collect()}
@@ -385,6 +477,55 @@ def test_scores(spark, sf_dir, rows) -> None:
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def brute_score(model, counts, text) -> float:
+    """Word by word: log10 of the count and one, and of what a class after a class contributes."""
+    last, total = model.class_of[-1], 0.0
+    for word in [*words_of(text), None]:
+        if word is None:
+            unit, count = len(model.class_of) - 1, int(model.counts[-1])
+        else:
+            unit, count = model.units[word], counts[word]
+        here = model.class_of[unit]
+        total += math.log10(count + 1) + model.pair[last, here]
+        last = here
+    return total
+
+
+def test_scores_are_those_of_a_plain_loop(spark, sf_dir, rows) -> None:
+    docs = table(spark, sf_dir, "documents")
+    held_out = in_fold("doc_id", 7, 2)
+    model, rare = class_lm.fit(docs.filter(~held_out), classes=20, rounds=2)
+    counts: Counter = Counter()
+    for doc_id, text in rows:
+        if zlib.crc32(str(doc_id).encode()) % 7 != 2:
+            counts.update(words_of(text))
+    found = {r.doc_id: r.score for r in class_lm.scores(docs, model, rare, held_out).collect()}
+    for doc_id, text in rows[:40]:
+        assert found[doc_id] == pytest.approx(brute_score(model, counts, text))
+
+
+def test_exchange_climbs(spark, sf_dir) -> None:
+    docs = table(spark, sf_dir, "documents").filter(~in_fold("doc_id", 7, 2))
+    model, _ = class_lm.fit(docs, classes=30, rounds=5)
+    steps = model.likelihoods
+    assert len(steps) >= 4
+    assert all(b > a for a, b in zip(steps, steps[1:], strict=False))
+    # The last one is that of the classes that were kept, counted word by word.
+    pairs: Counter = Counter()
+    for row in docs.collect():
+        classes = [model.class_of[-1], *(model.class_of[model.units[w]] for w in words_of(row.text)), model.class_of[-1]]
+        pairs.update(zip(classes, classes[1:], strict=False))
+    after, into = Counter(), Counter()
+    for (a, b), n in pairs.items():
+        after[a] += n
+        into[b] += n
+    parts = (sum(n * math.log(n) for n in c.values()) for c in (pairs, after, into))
+    value = next(parts) - next(parts) - next(parts)
+    assert steps[-1] == pytest.approx(value)
+    without, _ = class_lm.fit(docs, classes=30, rounds=0)
+    assert without.likelihoods == (pytest.approx(steps[0]),)
+
+
 def test_probabilities_sum_to_one(docs) -> None:
     model, rare = class_lm.fit(docs, classes=4, rounds=2)
     counts = {bytes(r.word): r.n for r in rare.collect()} | {

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from tallymonth.llm import queries, sharding, token_counts
@@ -73,3 +75,69 @@ def test_ties_and_unknown_characters() -> None:
     for _ in range(500):
         word = "".join(random.choices("abz", k=random.randint(1, 9)))
         assert own.search(word) == len(tied.encode(word).ids), word
+
+
+def test_no_key_of_the_directory_holds_many_rows(spark, monkeypatch) -> None:
+    rows = spark.range(5_000).select(F.shiftrightunsigned(F.xxhash64("id"), 1).alias("hash"), F.lit(10).cast("long").alias("bytes"))
+    keys = []
+    real = sharding.stored
+
+    def noted(frame, purpose):
+        if purpose == "prefixes":
+            keys.append(frame)
+        return real(frame, purpose)
+
+    monkeypatch.setattr(sharding, "stored", noted)
+    sums = sharding._sums(rows, 0, 13)
+    assert len(keys) == 4
+    by_level = {r.bits: (r.n, r.bytes) for r in sums.groupBy("bits").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).collect()}
+    assert set(by_level) == set(range(14))
+    assert {bytes_ for _, bytes_ in by_level.values()} == {50_000}
+    assert by_level[0][0] == 1
+    # No level is summed from more than 2 ^ LEVELS rows a key.
+    assert all(by_level[bits][0] <= 2**bits for bits in by_level)
+    leaves = sharding._leaves(sums, 0, 400).collect()
+    held = Counter()
+    for r in leaves:
+        assert r.shard_bytes <= 400
+        held[r.split] += r.shard_bytes
+    assert sum(held.values()) == 50_000
+
+
+def test_directories_of_every_depth_agree(spark) -> None:
+    rows = [(i, "x" * (i % 50)) for i in range(300)] + [(1, "y" * 9_000), (2, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for limit in (1, 60, 100_000):
+        found = sharding.shards(docs, limit).collect()
+        assert Counter(r.doc_id for r in found) == Counter(i for i, _ in rows)
+        held = Counter()
+        for r in found:
+            held[r.shard] += r.bytes
+        assert all(r.shard_bytes == held[r.shard] for r in found)
+        names = sorted(held)
+        assert not any(b.startswith(a) for a, b in zip(names, names[1:], strict=False) if a != b)
+
+
+def test_windows_count_as_one_search(monkeypatch) -> None:
+    pieces = token_counts.read_pieces(PIECES)
+    counts = token_counts.Counts(pieces)
+    random.seed(8)
+    letters = "theandofin\u00e9\u4f60\n."
+    words = ["".join(random.choices(letters, k=n)) for n in (1, 2, 40, 300, 2_000)]
+    words += ["the" * 500, "\u4f60" * 300, "\n" * 100, "internationalization" * 40]
+    for window in (1, 2, 5, 64, 1_000):
+        monkeypatch.setattr(token_counts, "WINDOW", window)
+        for word in words:
+            assert counts.search_by_windows(word) == counts.search(token_counts.SPACE + word), (window, word[:40])
+
+
+def test_a_long_text_without_a_space_takes_little_memory() -> None:
+    counts = token_counts.Counts(token_counts.read_pieces(PIECES))
+    text = "thequickbrownfox\n" * 30_000
+    tracemalloc.start()
+    found = counts.of(text)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found > 30_000
+    assert peak < 12 << 20
+    assert len(counts) == 0
