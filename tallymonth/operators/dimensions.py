@@ -11,19 +11,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tallymonth.functions import rules
 from tallymonth.lookups import card_transaction_types
 from tallymonth.operators import asof, intervals
-from tallymonth.operators.spread import HOT_ROWS, MOST_HOT_KEYS
+from tallymonth.operators.spread import HOT_ROWS, MOST_HOT_KEYS, most_frequent, spread
 
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 # Upper estimate of what one broadcast row takes besides its text.
 ROW_OVERHEAD_BYTES = 64
 
-# How many ids with more than ``HOT_ROWS`` rows may be broadcast with their categories.
+# How many ids with more than ``HOT_ROWS`` rows may be broadcast, and how many of their categories.
 MOST_HOT_IDS = MOST_HOT_KEYS
+MOST_HOT_CODES = 250_000
 
 KEY = "category_key_lkp"
 
@@ -46,8 +48,8 @@ def _keyed(categories: DataFrame) -> DataFrame:
 
 def fits_broadcast(
     categories: DataFrame,
-    columns: tuple[str, ...] = ("id", "code"),
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    columns: tuple[str, ...] = ("id", "code"),
 ) -> bool:
     """Measure a table by its text columns: one distributed sum, one number back."""
     row_bytes = F.lit(ROW_OVERHEAD_BYTES)
@@ -72,10 +74,34 @@ def hot_category_ids(
     rows: DataFrame, hot_rows: int = HOT_ROWS, most: int = MOST_HOT_IDS
 ) -> DataFrame:
     """Ids with more than ``hot_rows`` rows: the ``most`` frequent ones at most."""
-    key = _key(rows, "merchant_category_id").alias("hot_id")
-    counted = rows.groupBy(key).agg(F.count("*").alias("rows"))
-    hot = counted.filter(F.col("hot_id").isNotNull() & (F.col("rows") > hot_rows))
-    return hot.orderBy(F.desc("rows"), "hot_id").limit(most).select("hot_id")
+    return _counted_hot_ids(rows, hot_rows, most).select("hot_id")
+
+
+def _counted_hot_ids(rows: DataFrame, hot_rows: int, most: int) -> DataFrame:
+    keyed = rows.select(_key(rows, "merchant_category_id").alias("hot_id"))
+    return most_frequent(keyed.filter("hot_id is not null"), ["hot_id"], hot_rows, most)
+
+
+def _hot_ids(
+    rows: DataFrame, categories: DataFrame, hot_rows: int, most: int, most_codes: int
+) -> DataFrame:
+    """(hot_id, stays, groups): which hot ids have so few categories that all of them
+    together fit a broadcast, and into how many groups the rows of the others are dealt.
+
+    Ids with the fewest categories come first, until ``most_codes`` rows are reached.
+    """
+    hot = _counted_hot_ids(rows, hot_rows, most)
+    keyed = categories.select(_key(categories, "id").alias("code_id"))
+    same = F.col("code_id") == F.col("hot_id")
+    codes = keyed.join(F.broadcast(hot), same, "left_semi").groupBy("code_id")
+    counted = hot.join(codes.agg(F.count("*").alias("codes")), same, "left")
+    # One task, of ``most`` rows at most.
+    order = Window.orderBy(F.coalesce("codes", F.lit(0)), "hot_id")
+    return counted.select(
+        "hot_id",
+        (F.coalesce(F.sum("codes").over(order), F.lit(0)) <= most_codes).alias("stays"),
+        F.ceil(F.col("hot_n") / max(1, hot_rows)).cast("int").alias("groups"),
+    )
 
 
 def with_category_code_shuffled(
@@ -83,27 +109,41 @@ def with_category_code_shuffled(
     categories: DataFrame,
     hot_rows: int = HOT_ROWS,
     most_hot_ids: int = MOST_HOT_IDS,
+    most_hot_codes: int = MOST_HOT_CODES,
 ) -> DataFrame:
     """Left join by shuffle for categories too large to broadcast.
 
     A single category, or the rows without one, may hold a large share of all rows.
     Rows with a hot id stay where they are and meet a broadcast of the hot ids'
-    categories alone, of which there are ``most_hot_ids`` at most; rows without an id
-    meet nothing. Only the rest is shuffled. Equal rows are no matter, and a recomputed
-    task gives the same rows again. The hot ids cost one pass over the id column.
+    categories alone; these are ``most_hot_codes`` at most. Rows of hot ids with more
+    categories than that are dealt to several groups, and those categories are repeated for
+    each group. Rows without an id meet nothing and stay. Only the rest is shuffled as it is.
+    Equal rows are no matter, and a recomputed task gives the same rows again. The hot ids
+    cost one pass over the id column; the rows are then read once for those that stay and
+    once for those that go.
     """
-    hot = F.broadcast(hot_category_ids(rows, hot_rows, most_hot_ids))
+    hot = F.broadcast(_hot_ids(rows, categories, hot_rows, most_hot_ids, most_hot_codes))
     key = _key(rows, "merchant_category_id")
-    marked = rows.join(hot, key == F.col("hot_id"), "left")
-    of_hot = categories.join(hot, _key(categories, "id") == F.col("hot_id"), "left_semi")
-    stay = marked.filter(F.col("hot_id").isNotNull()).select(*rows.columns)
-    go = marked.filter(F.col("hot_id").isNull() & key.isNotNull())
-    unknown = rows.filter(key.isNull())
-    return (
-        with_category_code_broadcast(stay, of_hot)
-        .unionByName(join_category_code(go.select(*rows.columns), categories.hint("merge")))
-        .unionByName(unknown.withColumn("code", F.lit(None).cast("string")))
+    marked = rows.withColumn("spread_lkp", spread(rows)).join(hot, key == F.col("hot_id"), "left")
+    stays = F.coalesce(F.col("stays"), key.isNull())
+
+    keyed = categories.select(_key(categories, "id").alias(KEY), "code")
+    given = keyed.join(hot, F.col(KEY) == F.col("hot_id"), "left")
+    few = F.broadcast(given.filter("stays").select(KEY, "code"))
+    stay = marked.filter(stays).select(*rows.columns)
+    same = _key(stay, "merchant_category_id") == F.col(KEY)
+    at_rest = stay.join(few, same, "left").drop(KEY)
+
+    groups = F.coalesce("groups", F.lit(1))
+    go = marked.filter(~stays).select(
+        *rows.columns, F.pmod("spread_lkp", groups.cast("long")).cast("int").alias("salt_lkp")
+    )
+    dealt = given.filter(F.coalesce(~F.col("stays"), F.lit(True))).select(
+        KEY, "code", F.explode(F.sequence(F.lit(0), groups - 1)).alias("salt")
     )
+    met = (_key(go, "merchant_category_id") == F.col(KEY)) & (F.col("salt_lkp") == F.col("salt"))
+    moved = go.join(dealt.hint("merge"), met, "left").drop(KEY, "salt", "salt_lkp")
+    return at_rest.unionByName(moved)
 
 
 def with_category_code(

@@ -78,18 +78,19 @@ CATEGORY_COLUMNS = [
 ]
 
 
-# A table that grows with the data; keys that end in 9 repeat the id before them.
+# A table that grows with the data; keys that end in 9 repeat the id before them. Some codes
+# are missing, some blank.
 LARGE_CATEGORY_COLUMNS = [
     "p_partkey - IF(p_partkey % 10 = 9, 1, 0) AS id",
-    """CASE WHEN p_partkey % 9 <> 8
+    """CASE WHEN p_partkey % 7 = 3 THEN '' WHEN p_partkey % 9 <> 8
         THEN lpad(CAST(p_partkey % 10000 AS STRING), 4, '0') END AS code""",
 ]
 
 # Codes that change over time: several versions an id, some on one day, some without a code or
-# a start, and one id in eleven that is never used.
+# a start or with a blank code, and one id in eleven that is never used.
 DATED_CATEGORY_COLUMNS = [
     "CAST(p_partkey % 34 AS INT) AS id",
-    """CASE WHEN p_partkey % 9 <> 8
+    """CASE WHEN p_partkey % 11 = 5 THEN '' WHEN p_partkey % 9 <> 8
         THEN lpad(CAST(p_partkey % 10000 AS STRING), 4, '0') END AS code""",
     """CASE WHEN p_partkey % 200 <> 7
         THEN date_add(DATE'1992-06-01', CAST((p_partkey * 37) % 2200 AS INT)) END AS valid_from""",

@@ -57,14 +57,14 @@ _MCC = """mcc AS (
 
 _LARGE_MCC = """mcc AS (
   SELECT CASE WHEN p_partkey % 10 = 9 THEN p_partkey - 1 ELSE p_partkey END AS id,
-    CASE WHEN p_partkey % 9 <> 8
+    CASE WHEN p_partkey % 7 = 3 THEN '' WHEN p_partkey % 9 <> 8
          THEN lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') END AS code
   FROM part
 )"""
 
 _DATED_MCC = """dated AS (
   SELECT CAST(p_partkey % 34 AS INTEGER) AS id,
-    CASE WHEN p_partkey % 9 <> 8
+    CASE WHEN p_partkey % 11 = 5 THEN '' WHEN p_partkey % 9 <> 8
          THEN lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') END AS code,
     CASE WHEN p_partkey % 200 <> 7
          THEN DATE '1992-06-01' + CAST((p_partkey * 37) % 2200 AS INTEGER) END AS valid_from
@@ -161,6 +161,8 @@ _ENRICHED = """enriched AS (
          ELSE '' END AS merchant_business_type,
     CASE WHEN m.code IS NULL AND s.service_system_type = 'CPF' THEN '9999'
          ELSE m.code END AS merchant_category_code,
+    CASE WHEN nullif(m.code, '') IS NULL AND s.service_system_type = 'CPF' THEN '9999'
+         ELSE nullif(m.code, '') END AS merchant_category_code_specified,
     CASE WHEN t.card_country_issuer_code = 'A029' THEN 'Local' ELSE 'Inter' END AS card_country,
     coalesce(k.backend_code, '099999') AS backend_transaction_type,
     coalesce(ci.transaction_type_code_lkp, '099999') AS transaction_type_implemented,
@@ -187,6 +189,11 @@ _KEYS = (
     "date, service_system_type, transaction_type, merchant_business_type, merchant_category_code"
 )
 
+_CATEGORY = {
+    "implemented": "merchant_category_code",
+    "specified": "merchant_category_code_specified",
+}
+
 _COUNTED = {"implemented": "count(amount)", "specified": "count(*)"}
 
 # Half-up average in cents, in whole numbers: floor((2*|cents| + n) / (2*n)).
@@ -219,7 +226,7 @@ def _grouped(profile: str) -> str:
     return f"""grouped AS (
   SELECT month_end AS date, service_system_type,
     transaction_type_{profile} AS transaction_type,
-    merchant_business_type, merchant_category_code,
+    merchant_business_type, {_CATEGORY[profile]} AS merchant_category_code,
     CAST(sum(amount) AS DECIMAL(34,2)) AS amount, {_COUNTED[profile]} AS number
   FROM enriched GROUP BY 1, 2, 3, 4, 5
 )"""

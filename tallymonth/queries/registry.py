@@ -262,7 +262,7 @@ def _fees(spark: SparkSession, sf_dir: str, **options: object) -> DataFrame:
 
 def fee_period_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every transaction with every fee period of its category that holds its date."""
-    small = dimensions.fits_broadcast(fee_periods(spark, sf_dir), ("id", "fee_code"))
+    small = dimensions.fits_broadcast(fee_periods(spark, sf_dir), columns=("id", "fee_code"))
     return _fees(spark, sf_dir, small_periods=small)
 
 

@@ -237,3 +237,47 @@ def test_a_hot_group_is_summed_before_the_shuffle(spark) -> None:
         assert plan.index("partial_sum") < plan.index("Arguments: hashpartitioning(date")
         (row,) = report.collect()
         assert (row["amount"], row["number"]) == (Decimal("1000.00"), 100_000)
+
+
+@pytest.mark.parametrize("most_codes", [0, 3, 10_000])
+def test_hot_ids_with_many_codes_are_dealt_not_broadcast(spark, most_codes) -> None:
+    """Two hot ids, one of them with more codes than may be broadcast."""
+    rows = spark.range(0, 6_000, 1, 32).select(
+        (F.col("id") % 3).cast("int").alias("merchant_category_id"), F.col("id").alias("row")
+    )
+    rows = rows.withColumn("merchant_category_id", F.when(F.col("row") % 3 > 0, F.col("merchant_category_id")))
+    few = [Category(1, f"{n:04}") for n in range(3)]
+    many = [Category(2, f"{n:04}") for n in range(20)]
+    categories = categories_of(spark, few + many)
+    with settings(
+        spark, autoBroadcastJoinThreshold="-1", adaptive_enabled="false", shuffle_partitions="8"
+    ):
+        hot = dimensions._hot_ids(rows, categories, 100, 99, most_codes).collect()
+        joined = dimensions.with_category_code_shuffled(rows, categories, 100, 99, most_codes)
+        plain = dimensions.join_category_code(rows, categories)
+        counts = Counter(map(tuple, joined.collect()))
+        loads = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert counts == Counter(map(tuple, plain.collect()))
+    stays = {r["hot_id"]: r["stays"] for r in hot}
+    assert stays == {"1": most_codes >= 3, "2": most_codes >= 23}
+    assert {r["groups"] for r in hot} == {20}
+    total = 2_000 * (1 + 3 + 20)
+    if most_codes == 0:
+        assert max(loads) < 3 * total / 8
+
+
+def test_the_scratch_folder_is_refused_on_a_cluster_unless_it_is_given(spark) -> None:
+    from types import SimpleNamespace
+
+    from tallymonth import scratch
+
+    def session(master: str, **conf: str):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, *default: conf.get(name.replace(".", "_"), *default)))
+
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            scratch.new_directory(session(master), "x")
+    assert scratch.new_directory(session("yarn", spark_checkpoint_dir="s3a://b/c"), "x").startswith("s3a://b/c/x-")
+    local = session("local[4]", spark_sql_warehouse_dir="/w")
+    assert scratch.new_directory(local, "x").startswith("/w/_scratch/x-")

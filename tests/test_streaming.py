@@ -12,6 +12,7 @@ import pytest
 
 from tallymonth import AS_IMPLEMENTED, AS_SPECIFIED, monthly_report, read_monthly_files, write_monthly_files
 from tallymonth.schemas import TRANSACTIONS
+from tallymonth.streaming.__main__ import main
 from tallymonth.streaming.monthly import (
     MonthlyReportSink,
     read_transaction_stream,
@@ -148,3 +149,21 @@ def test_rows_for_closed_months_are_taken_and_noted(spark, tmp_path) -> None:
     assert (noted.date, noted.records, noted.amount, noted.batch) == (datetime.date(2018, 1, 31), 2, 42, 2)
     assert noted.closed_before == datetime.date(2018, 2, 18)
     assert report_of(spark, tmp_path / "out") == batch_report(spark, tmp_path, first + second + third, AS_IMPLEMENTED)
+
+
+def test_the_launcher_runs_to_the_end_of_the_files(spark, tmp_path, place, capsys) -> None:
+    random.seed(8)
+    rows = random_transactions(40)
+    write_file(place, "a", rows[:25])
+    write_file(place, "b", rows[25:])
+    (tmp_path / "mcc.csv").write_text("id,code\n" + "".join(f"{c.id},{c.code or ''}\n" for c in CATEGORIES))
+    folders = {name: str(tmp_path / name) for name in ("output", "state", "checkpoint")}
+    argv = ["--transactions", str(place), "--categories", str(tmp_path / "mcc.csv"), "--once", "--files-a-batch", "1"]
+    for name, folder in folders.items():
+        argv += [f"--{name}", folder]
+    noted = main([*argv, "--lateness-days", "20"])
+    assert f"Records for closed months: {noted}" in capsys.readouterr().out
+    assert report_of(spark, folders["output"]) == batch_report(spark, tmp_path, rows, AS_IMPLEMENTED)
+    # Nothing new: the files stay, and nothing is counted again.
+    main(argv)
+    assert report_of(spark, folders["output"]) == batch_report(spark, tmp_path, rows, AS_IMPLEMENTED)
