@@ -11,8 +11,9 @@ word in its class, mixed with the smoothed unigram probability.
 Words that make up at least ``FREQUENT`` of all tokens move on their own; there are at
 most 1 / ``FREQUENT`` of them, whatever the corpus. All rarer words that end alike (one
 of ``ENDINGS`` hashes of the last two bytes) move together. So the classes, and what is
-sent to the tasks, have a fixed bound, while every word is counted by itself: the
-counts of rare words are never sent whole but joined with the texts' rare words.
+sent to the tasks, have a fixed bound, while every word is counted by itself: the counts
+of words that make up at least ``LISTED`` of all tokens are sent to the tasks, 1 / ``LISTED`` at
+most, and those of rarer words are joined with the texts' rare words.
 
 Every probability has the factor count + 1, so a text's score is a sum of
 log10(count + 1) over its tokens and of one number for each pair of adjacent classes.
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from tallymonth.llm.common import stored, texts, word_lists
 
 FREQUENT = 2e-5
+LISTED = 2e-6
 ENDINGS = 1024
 CLASSES = 64
 ROUNDS = 6
@@ -48,19 +50,21 @@ CLASS_SHARE = 0.9
 TRANSITION_SMOOTHING = 0.1
 CACHED_WORDS = 100_000
 FLUSH_WORDS = 100_000
-UNITS_A_TASK = 256
+UNITS_A_TASK = 16
 
 
 class Units(dict):
-    """The unit of a word: its own if it is frequent, else that of its ending."""
+    """The unit of a word: its own if it is frequent, else that of its ending. Words that are
+    ``listed`` besides have numbers of their own, after all units and the end token."""
 
-    def __init__(self, frequent: list[bytes]) -> None:
+    def __init__(self, frequent: list[bytes], listed: list[bytes] | None = None) -> None:
         super().__init__((word, number) for number, word in enumerate(frequent))
-        self.own = len(frequent)
-        self.full = self.own + CACHED_WORDS
+        self.own, self.frequent, self.listed = len(frequent), frequent, listed or []
+        self.update((word, self.own + ENDINGS + 1 + at) for at, word in enumerate(self.listed))
+        self.full = len(self) + CACHED_WORDS
 
     def __missing__(self, word: bytes) -> int:
-        unit = self.own + zlib.crc32(word[-2:]) % ENDINGS
+        unit = self.own + ending(word)
         if len(self) < self.full and len(word) <= LONGEST_CACHED:
             self[word] = unit
         return unit
@@ -69,7 +73,11 @@ class Units(dict):
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
     def __reduce__(self):
-        return Units, ([word for word, unit in self.items() if unit < self.own],)
+        return Units, (self.frequent, self.listed)
+
+
+def ending(word: bytes) -> int:
+    return zlib.crc32(word[-2:]) % ENDINGS
 
 
 @dataclass(frozen=True)
@@ -80,7 +88,9 @@ class Model:
     pair: np.ndarray  # log10 of what a class after a class contributes to a token
     tokens: int
     words: int  # distinct tokens
-    likelihoods: tuple[float, ...] = ()  # of the classes, before and after each round
+    likelihoods: tuple[float, ...]  # of the classes, before and after each round
+    numbers: Units  # of the words whose counts are sent: the frequent and the listed ones
+    listed_counts: np.ndarray
 
     @property
     def base(self) -> float:
@@ -130,9 +140,14 @@ def _sequences(docs: DataFrame, units: Units) -> DataFrame:
 
 
 def _neighbours(sequences: DataFrame, class_of: np.ndarray, classes: int) -> DataFrame:
-    """(unit, context, n): how often a unit follows (context below ``classes``) or precedes
-    (from there on) a class."""
-    sent = sequences.sparkSession.sparkContext.broadcast(class_of)
+    """(unit, counts): how often a unit follows and precedes each class, as one array of whole
+    numbers; a row for each unit and task.
+
+    There are as many tasks as the cluster runs at a time, so what a unit's rows take has a
+    bound whatever the corpus.
+    """
+    spark = sequences.sparkSession
+    sent = spark.sparkContext.broadcast(class_of)
     width = 2 * classes
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,13 +163,15 @@ def _neighbours(sequences: DataFrame, class_of: np.ndarray, classes: int) -> Dat
             # A text's last token precedes the next text's first; the end token absorbs it.
             place = units[:-1].astype(np.int64) * width + classes + after[1:]
             sums += np.bincount(place, minlength=len(sums))
-        there = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_pydict(
-            {"unit": there // width, "context": there % width, "n": sums[there]}
-        )
+        counts = sums.reshape(-1, width)
+        there = np.flatnonzero(counts.any(axis=1))
+        for at in range(0, len(there), 4096):
+            some = there[at : at + 4096]
+            rows = [row.tobytes() for row in counts[some].astype("<i8")]
+            yield pa.RecordBatch.from_pydict({"unit": some, "counts": pa.array(rows, pa.binary())})
 
-    counted = sequences.mapInArrow(count, "unit long, context long, n long")
-    return counted.groupBy("unit", "context").agg(F.sum("n").alias("n"))
+    merged = sequences.coalesce(max(1, spark.sparkContext.defaultParallelism))
+    return merged.mapInArrow(count, "unit long, counts binary")
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -177,21 +194,27 @@ def _moves(neighbours: DataFrame, pairs: np.ndarray, class_of: np.ndarray) -> pd
         pairs, class_of = sent.value
         units, place = np.unique(group["unit"], return_inverse=True)
         seen = np.zeros((len(units), 2 * classes))
-        seen[place, group["context"]] = group["n"]
+        np.add.at(seen, place, np.stack([np.frombuffer(c, "<i8") for c in group["counts"]]))
         before, after = seen[:, :classes], seen[:, classes:]
-        out, into = pairs.sum(axis=1), pairs.sum(axis=0)
+        out, into, plain = pairs.sum(axis=1), pairs.sum(axis=0), _xlogx(pairs)
+
+        def gained(counts: np.ndarray, logs: np.ndarray, own: np.ndarray, here: int) -> np.ndarray:
+            """What ``own`` adds to the rows of the counts, once taken out of the row it is in."""
+            some = np.flatnonzero(own)
+            counts, logs, own = counts[:, some], logs[:, some], own[some]
+            counts[here] = np.maximum(counts[here] - own, 0)
+            logs[here] = _xlogx(counts[here])
+            return (_xlogx(counts + own) - logs).sum(axis=1)
+
         best, gains = [], []
         for row, unit in enumerate(units):
             here, left, right = class_of[unit], before[row], after[row]
-            rows, columns, sent_out, got = pairs.copy(), pairs.T.copy(), out.copy(), into.copy()
-            rows[here] -= right
-            columns[here] -= left
-            sent_out[here] -= right.sum()
-            got[here] -= left.sum()
-            gain = (_xlogx(np.maximum(rows, 0) + right) - _xlogx(np.maximum(rows, 0))).sum(axis=1)
-            gain += (_xlogx(np.maximum(columns, 0) + left) - _xlogx(np.maximum(columns, 0))).sum(axis=1)
-            gain -= _xlogx(sent_out + right.sum()) - _xlogx(np.maximum(sent_out, 0))
-            gain -= _xlogx(got + left.sum()) - _xlogx(np.maximum(got, 0))
+            sent_out, got = out.copy(), into.copy()
+            sent_out[here] = max(sent_out[here] - right.sum(), 0)
+            got[here] = max(got[here] - left.sum(), 0)
+            gain = gained(pairs, plain, right, here) + gained(pairs.T, plain.T, left, here)
+            gain -= _xlogx(sent_out + right.sum()) - _xlogx(sent_out)
+            gain -= _xlogx(got + left.sum()) - _xlogx(got)
             gain = gain[:-1]  # the end token's class is its own
             to = int(gain.argmax())
             best.append(to)
@@ -242,8 +265,7 @@ def exchange(
     (pairs,) = _pairs_by_map(sequences, [class_of], classes)
     likelihoods = [likelihood(pairs)]
     for _ in range(rounds):
-        neighbours = stored(_neighbours(sequences, class_of, classes), "neighbours")
-        moves = _moves(neighbours, pairs, class_of).sort_values(["gain", "unit"], ascending=[False, True])
+        moves = _moves(_neighbours(sequences, class_of, classes), pairs, class_of).sort_values(["gain", "unit"], ascending=[False, True])
         if moves.empty:
             break
         # Moves to one class hinder each other most, so every class gets its best ones first.
@@ -277,8 +299,12 @@ def fit(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[
     tokens = (sums["n"] or 0) + texts_seen
     words = sums["words"] + (texts_seen > 0)
     often = F.col("n") >= FREQUENT * tokens
-    frequent = sorted((-row["n"], bytes(row["word"])) for row in counted.filter(often).collect())
+    sent = counted.filter(F.col("n") >= LISTED * tokens).collect()
+    known = sorted((-row["n"], bytes(row["word"])) for row in sent)
+    frequent = [pair for pair in known if -pair[0] >= FREQUENT * tokens]
     units = Units([word for _, word in frequent])
+    listed = known[len(frequent) :]
+    numbers = Units([word for _, word in frequent], [word for _, word in listed])
 
     classes += 1  # the last one is the end token's
     own = units.own
@@ -288,9 +314,9 @@ def fit(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[
     class_of, pairs, likelihoods = exchange(sequences, class_of, classes, rounds)
 
     rare = counted.filter(~often)
-    ending = F.pmod(F.crc32(F.expr("substring(word, -2, 2)")), F.lit(ENDINGS))
+    ends = F.pmod(F.crc32(F.expr("substring(word, -2, 2)")), F.lit(ENDINGS))
     types = np.bincount(class_of[:own], minlength=classes)
-    for row in rare.groupBy(ending.alias("ending")).agg(F.count("*").alias("words")).collect():
+    for row in rare.groupBy(ends.alias("ending")).agg(F.count("*").alias("words")).collect():
         types[class_of[own + row["ending"]]] += row["words"]
     types[classes - 1] += texts_seen > 0
     # Each ending stands for one more word, the unknown one.
@@ -300,7 +326,12 @@ def fit(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[
     emission = 1 / np.maximum(into + types + unknown, 1)
     pair = CLASS_SHARE * follows * emission + (1 - CLASS_SHARE) / (tokens + words + ENDINGS)
     counts = np.array([-count for count, _ in frequent] + [texts_seen])
-    return Model(units, counts, class_of, np.log10(pair), tokens, words, tuple(likelihoods)), rare
+    listed_counts = np.array([-count for count, _ in listed], np.int64)
+    pair = np.log10(pair)
+    model = Model(
+        units, counts, class_of, pair, tokens, words, tuple(likelihoods), numbers, listed_counts
+    )
+    return model, rare
 
 
 _SCORED = "word binary, n long, n_tokens long, n_known long, counts double, pairs double"
@@ -315,28 +346,33 @@ def _parts(docs: DataFrame, model: Model, held_out: Column) -> DataFrame:
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, serial = sent.value, 0
-        units, class_of, own = model.units, model.class_of, model.units.own
-        logs, end = np.log10(model.counts + 1.0), class_of[-1]
-        known = model.counts > 0
+        numbers, own, end = model.numbers, model.units.own, model.class_of[-1]
+        by_ending = [own + ending(word) for word in numbers.listed]
+        class_of = np.concatenate([model.class_of, model.class_of[by_ending]])
+        # Rare words, and the end token, have their counts added elsewhere.
+        logs = np.zeros(len(class_of))
+        logs[:own] = np.log10(model.counts[:own] + 1.0)
+        logs[own + ENDINGS + 1 :] = np.log10(model.listed_counts + 1.0)
+        ends_known, ends_log = int(model.counts[-1] > 0), np.log10(model.counts[-1] + 1.0)
         for whole in parts:
             for at in range(0, len(whole), 256):
                 part = whole.slice(at, 256)
                 source: list[int] = []
                 word, n, heads = [], [], []
                 for row, text in enumerate(part.column("text")):
-                    tokens, seen, counts, pairs, last = 1, int(known[-1]), logs[-1], 0.0, end
+                    tokens, seen, counts, pairs, last = 1, ends_known, ends_log, 0.0, end
                     for words in word_lists(text.as_py()):
-                        found = units.of(words)
+                        found = numbers.of(words)
                         if not len(found):
                             continue
                         classes = class_of[found]
                         pairs += model.pair[np.concatenate([[last], classes[:-1]]), classes].sum()
                         last = classes[-1]
-                        often = found < own
-                        counts += logs[found[often]].sum()
-                        seen += int(often.sum())
+                        rarely = (found >= own) & (found < own + ENDINGS)
+                        counts += logs[found].sum()
+                        seen += len(found) - int(rarely.sum())
                         tokens += len(found)
-                        rare = Counter(compress(words, (~often).tolist()))
+                        rare = Counter(compress(words, rarely.tolist()))
                         word.extend(rare)
                         n.extend(rare.values())
                         source.extend([row] * len(rare))
