@@ -37,7 +37,13 @@ from tallymonth.sinks.files import (
     write_monthly_files,
     write_plain_csv,
 )
-from tallymonth.sources.files import conformed, read_merchant_categories, read_transactions
+from tallymonth.sources.files import (
+    conformed,
+    read_category_versions,
+    read_fee_periods,
+    read_merchant_categories,
+    read_transactions,
+)
 from tallymonth.sources.nested import (
     payment_items,
     payment_transactions,
@@ -74,6 +80,8 @@ __all__ = [
     "payment_items",
     "payment_transactions",
     "preview",
+    "read_category_versions",
+    "read_fee_periods",
     "read_merchant_categories",
     "read_monthly_files",
     "read_payments",

@@ -38,6 +38,26 @@ MERCHANT_CATEGORIES = T.StructType(
     ]
 )
 
+# A version of a category holds from its start until the next one of its id starts.
+CATEGORY_VERSIONS = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("code", T.StringType()),
+        T.StructField("valid_from", T.DateType()),
+    ]
+)
+
+# A fee holds for a category's transactions from ``starts`` until the day before ``ends``.
+FEE_PERIODS = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("fee_code", T.StringType()),
+        T.StructField("rate", T.DecimalType(6, 4)),
+        T.StructField("starts", T.DateType()),
+        T.StructField("ends", T.DateType()),
+    ]
+)
+
 GROUP_KEYS = [
     "date",
     "service_system_type",

@@ -10,7 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymonth.schemas import AMOUNT, CORRUPT_RECORD, MERCHANT_CATEGORIES, TRANSACTIONS
+from tallymonth.schemas import (
+    AMOUNT,
+    CATEGORY_VERSIONS,
+    CORRUPT_RECORD,
+    FEE_PERIODS,
+    MERCHANT_CATEGORIES,
+    TRANSACTIONS,
+)
 
 
 def _require_columns(names: list[str], schema: T.StructType, where: str) -> None:
@@ -83,6 +90,23 @@ def read_merchant_categories(
     return _read_csv(spark, path, MERCHANT_CATEGORIES, keep_corrupt_record, fail_on_malformed)
 
 
+def read_category_versions(
+    spark: SparkSession, path: str, fail_on_malformed: bool = False
+) -> DataFrame:
+    """Versions of merchant categories (id, code, valid_from) from CSV with a header.
+
+    A version without a date holds before all others; so does one whose date cannot be read,
+    unless ``fail_on_malformed`` is set.
+    """
+    return _read_csv(spark, path, CATEGORY_VERSIONS, False, fail_on_malformed)
+
+
+def read_fee_periods(spark: SparkSession, path: str, fail_on_malformed: bool = False) -> DataFrame:
+    """Fee periods (id, fee_code, rate, starts, ends) from CSV with a header; see
+    :func:`read_category_versions` for dates."""
+    return _read_csv(spark, path, FEE_PERIODS, False, fail_on_malformed)
+
+
 def rejected_values(transactions: DataFrame) -> DataFrame:
     """One row on transactions read with ``keep_corrupt_record``: how many records there
     are, how many were malformed, and how many of these lost their date or their amount."""

@@ -15,6 +15,8 @@ from tallymonth import (
     AS_IMPLEMENTED,
     AS_SPECIFIED,
     monthly_report,
+    read_category_versions,
+    read_fee_periods,
     read_merchant_categories,
     read_monthly_files,
     read_plain_csv,
@@ -323,3 +325,32 @@ def test_launcher_writes_a_directory_per_month(spark, tmp_path) -> None:
     inputs = ["--transactions", f"{tmp_path}/tx.csv", "--categories", f"{tmp_path}/mcc.csv"]
     assert main([*inputs, "--output", f"{tmp_path}/out", "--sink", "partitions"]) == 1
     assert data_files(tmp_path / "out") == ["report_file=ACME_20181231"]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_launcher_with_dated_categories(spark, tmp_path, capsys, monkeypatch, small) -> None:
+    if not small:
+        monkeypatch.setattr("tallymonth.__main__.fits_broadcast", lambda versions: False)
+    columns = "date,amount,payment_method,card_type,card_brand,card_country_issuer_code,backend_name,merchant_category_id"
+    lines = [f"2018-12-{day:02},{amount},payment01,type01,brand01,A029,,007" for day, amount in ((1, 1), (5, 10), (9, 100), (9, "x"))]
+    (tmp_path / "tx.csv").write_text("\n".join([columns, *lines]) + "\n")
+    (tmp_path / "mcc.csv").write_text("id,code,valid_from\n7,0742,2018-12-05\n7.0,0743,2018-12-09\n8,0001,\n")
+    argv = ["--transactions", f"{tmp_path}/tx.csv", "--categories", f"{tmp_path}/mcc.csv", "--output", f"{tmp_path}/out"]
+    argv += ["--profile", "as_specified", "--dated-categories", "--keep-malformed"]
+    assert main(argv) == 3
+    assert "Malformed transactions: 1" in capsys.readouterr().out
+    found = read_monthly_files(spark, f"{tmp_path}/out").collect()
+    assert {(r.merchant_category_code, r.amount, r.number) for r in found} == {
+        ("9999", 1, 1), ("0742", 10, 1), ("0743", 100, 2)
+    }
+
+
+def test_versions_and_periods_are_read_with_their_dates(spark, tmp_path) -> None:
+    (tmp_path / "versions.csv").write_text("code,id,valid_from,more\n0742,07,2018-12-05,x\n,8,,y\n9,9,05/12/2018,z\n")
+    found = read_category_versions(spark, f"{tmp_path}/versions.csv").collect()
+    assert [tuple(r) for r in found] == [("07", "0742", datetime.date(2018, 12, 5)), ("8", None, None), ("9", "9", None)]
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        read_category_versions(spark, f"{tmp_path}/versions.csv", fail_on_malformed=True).collect()
+    (tmp_path / "fees.csv").write_text("id,fee_code,rate,starts,ends\n7,f,0.0125,2018-01-01,\n")
+    (fee,) = read_fee_periods(spark, f"{tmp_path}/fees.csv").collect()
+    assert tuple(fee) == ("7", "f", Decimal("0.0125"), datetime.date(2018, 1, 1), None)
