@@ -205,6 +205,23 @@ def test_no_period_is_in_more_than_two_bins(spark) -> None:
     assert Counter(r["at"] for r in found.collect()) == expected
 
 
+def test_a_row_meets_lists_of_periods_not_each_of_them(spark) -> None:
+    count = 3 * intervals.LISTED + 5
+    periods = [("1", f"f{i}", i / 8, day(i % 40), None) for i in range(count)]
+    periods += [("1", "g", 0.5, None, None), ("2", "h", 0.5, day(4), day(6))]
+    frame = spark.createDataFrame(periods, PERIODS)
+    index = intervals.indexed(frame, F.col("id"), "starts", "ends", ["fee_code", "rate"])
+    lists = intervals.listed(index).collect()
+    # 3 times as many as a list holds and 6 more in the bin without ends, one in a bin of the other id.
+    assert sorted(len(r.periods) for r in lists) == [1, 6, *[intervals.LISTED] * 3]
+    assert sum(r["first"] is None for r in lists) == 1
+    assert all(r.after is None for r in lists if r.key == "1")
+    rows = [(day(i), i, id_) for i in (-1, 0, 4, 6, 39, 100, None) for id_ in ("1", "2", None)]
+    for options in ({"small_periods": True}, {}, {"hot_rows": 2}):
+        found = dimensions.with_fee_periods(spark.createDataFrame(rows, ROWS), frame, **options)
+        assert Counter(map(tuple, found.collect())) == brute_intervals(rows, periods)
+
+
 def test_intervals_bear_clashing_names_timestamps_and_empty_tables(spark) -> None:
     rows = spark.sql("SELECT TIMESTAMP'2018-01-01 12:00:00' AS date, 1 AS amount, '1' AS merchant_category_id")
     names = ["fee_code", "key", "row", "level", "bin", "first", "after", "value", "salt", "number", "probe", "groups"]
