@@ -222,6 +222,73 @@ def test_a_row_meets_lists_of_periods_not_each_of_them(spark) -> None:
         assert Counter(map(tuple, found.collect())) == brute_intervals(rows, periods)
 
 
+def test_rows_of_a_moment_are_moved_as_lists_not_each_of_them(spark) -> None:
+    count = 2 * intervals.LISTED + 5
+    rows = [(day(4), i % 7, "1") for i in range(count)] + [(day(5), 1, "1"), (day(4), 1, "2"), (day(9), 1, None)]
+    lists = keyed_rows(spark.createDataFrame(rows, ROWS).coalesce(1))
+    sizes = [len(r.rows) for r in intervals.listed_rows(lists, count, 10).collect()]
+    assert sorted(sizes) == [1, 1, 5, intervals.LISTED, intervals.LISTED]
+    # As 6 groups of frequent moments' rows, or of none but the most frequent moment's.
+    for hot_rows, most in ((count // 6, 10), (1, 1)):
+        found = intervals.listed_rows(lists, hot_rows, most).collect()
+        held = Counter((r.key, *row) for r in found for row in r.rows)
+        assert held == Counter((id_, *row, id_) for *row, id_ in rows if id_)
+        assert max(len(r.rows) for r in found) <= intervals.LISTED
+    periods = [("1", f"f{i}", i / 8, day(i % 6), day(i % 6 + 3)) for i in range(20)] + [("2", "g", None, None, None)]
+    frame = spark.createDataFrame(periods, PERIODS)
+    for options in ({}, {"hot_rows": 100}, {"hot_rows": 1}):
+        found = dimensions.with_fee_periods(spark.createDataFrame(rows, ROWS), frame, **options)
+        assert Counter(map(tuple, found.collect())) == brute_intervals(rows, periods)
+
+
+def keyed_rows(rows):
+    return rows.select(
+        F.struct(*rows.columns).alias("row"),
+        F.col("merchant_category_id").alias("key"),
+        F.unix_date("date").cast("long").alias("number"),
+        spread.spread(rows).alias("spread"),
+    ).filter("key is not null")
+
+
+def test_lists_of_rows_do_not_depend_on_their_order(spark) -> None:
+    rows = spark.createDataFrame([(day(i % 2), i, "1") for i in range(1_500)], ROWS).coalesce(1)
+    for hot_rows in (100, 10_000):
+        lists = [
+            {(r.number, r.spread, frozenset(r.rows)) for r in intervals.listed_rows(keyed_rows(frame), hot_rows, 10).collect()}
+            for frame in (rows, rows.sortWithinPartitions(F.desc("amount")))
+        ]
+        assert lists[0] == lists[1]
+        assert len({spread_ for _, spread_, _ in lists[0]}) == len(lists[0])
+
+
+def test_rows_of_a_frequent_moment_are_listed_by_all_tasks(spark) -> None:
+    tasks, count = 16, 64_000
+    rows = spark.range(0, count, 1, 32).select(
+        F.lit(DAY).alias("date"), F.col("id").alias("amount"), F.lit("1").alias("merchant_category_id")
+    )
+    with settings(spark, adaptive_enabled="false", shuffle_partitions=str(tasks)):
+        listed = intervals.listed_rows(keyed_rows(rows), 500, 10)
+        assert max(loads(listed.select(F.explode("rows")))) < 3 * count / tasks
+
+
+def test_periods_of_a_crowded_bin_are_not_repeated_for_each_few_rows(spark) -> None:
+    count = 300
+    rows = spark.range(count).select(
+        F.date_add(F.lit(DAY), (F.col("id") % 50).cast("int")).alias("date"), F.col("id").alias("amount"),
+        F.when(F.col("id") % 3 == 0, "2").otherwise("1").alias("merchant_category_id"),
+    )
+    frame = spark.range(count).select(
+        F.lit("1").alias("id"), F.col("id").cast("string").alias("fee_code"), F.lit(0.5).alias("rate"),
+        F.lit(None).cast("date").alias("starts"), F.lit(None).cast("date").alias("ends"),
+    )
+    index = intervals.indexed(frame, F.col("id"), "starts", "ends", ["fee_code", "rate"])
+    found = intervals.crowded_bins(keyed_rows(rows), index, [intervals.ENDLESS], 2, 10).collect()
+    # 200 rows and 300 periods: 100 groups of 2 rows would be given 30,000 periods. 100 rows meet none.
+    groups = {r.key: r.groups for r in found}
+    assert groups == {"1": -(-intervals.GIVEN * 200 // count), "2": 50}
+    assert dimensions.with_fee_periods(rows, frame, hot_rows=2).count() == 200 * count
+
+
 def test_intervals_bear_clashing_names_timestamps_and_empty_tables(spark) -> None:
     rows = spark.sql("SELECT TIMESTAMP'2018-01-01 12:00:00' AS date, 1 AS amount, '1' AS merchant_category_id")
     names = ["fee_code", "key", "row", "level", "bin", "first", "after", "value", "salt", "number", "probe", "groups"]
