@@ -7,21 +7,27 @@ from pyspark.sql import functions as F
 
 from tallymonth.llm.common import stored
 
+# Edges that a plan may broadcast if their files are small. Files do not tell: edges between
+# a few thousand nodes take two or three bytes there, and tens in memory.
+FEW_EDGES = 100_000
 
-def _large_star(edges: DataFrame) -> DataFrame:
+
+def _large_star(edges: DataFrame, many: bool) -> DataFrame:
     """Link every larger neighbour of a node to the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m"))
     least = least.select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
     larger = both.filter("b > a")
+    least = least.hint("merge") if many else least
     return larger.join(least, larger["a"] == least["k"]).select(
         F.col("b").alias("a"), F.col("m").alias("b")
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, many: bool) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of these."""
     least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "k")
+    least = least.hint("merge") if many else least
     joined = edges.join(least, edges["a"] == least["k"])
     return joined.select(
         F.explode(
@@ -62,5 +68,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
                 edges.select("b", "b").distinct()
             )
         before = signature
-        large = _large_star(edges).distinct()
-        edges = stored(_proper(_small_star(large)), "edges")
+        many = signature["n"] > FEW_EDGES
+        large = _large_star(edges, many).distinct()
+        edges = stored(_proper(_small_star(large, many)), "edges")

@@ -103,7 +103,8 @@ def deduplicated(docs: DataFrame, keep: str = "min", hash_of: Hash = content_has
         hash_of(F.coalesce("text", F.lit(""))).alias("hash"),
         id_key(F.col("doc_id")).alias("key"),
     )
-    keepers = groups.select("hash", id_key(F.col("keep_id")).alias("key"))
+    # As many as there are texts, whatever their file's size says of them.
+    keepers = groups.select("hash", id_key(F.col("keep_id")).alias("key")).hint("merge")
     stay = rows.join(keepers, ["hash", "key"]).dropDuplicates(["hash", "key"]).select("row.*")
     if by_text is None:
         return stay

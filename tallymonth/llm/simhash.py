@@ -7,6 +7,10 @@ equal keys bring the candidates together, and their bit distance is verified. Eq
 fingerprints are one class from the start, so copies are never paired. Where more than
 ``PAIR_LIMIT`` fingerprints share a key they are not paired either: leaving out further
 bits divides them exactly, until a key holds four fingerprints at most.
+
+Joins of tables that grow with the documents are merge joins, always. Their size as Spark has
+it says little: keys made by an explode count as the rows before it, and columns of a file as
+their compressed bytes; by these it would broadcast millions of keys.
 """
 
 from __future__ import annotations
@@ -121,7 +125,7 @@ def _few(members: DataFrame, distance: int) -> DataFrame:
     meets = F.when(F.col("left_out") < 0, F.col("a") < F.col("b")).otherwise(
         (_bit(F.col("a"), place) == 0) & (_bit(F.col("b"), place) == 1)
     )
-    return left.join(right, KEY).filter(meets & _near(distance)).select("a", "b")
+    return left.join(right.hint("merge"), KEY).filter(meets & _near(distance)).select("a", "b")
 
 
 def _many(members: DataFrame, distance: int) -> DataFrame:
@@ -161,7 +165,7 @@ def links(classes: DataFrame, distance: int = 2, pair_limit: int = PAIR_LIMIT) -
         raise ValueError("one wildcard in a half finds at most two differing bits")
     indexed = _indexed(classes)
     counts = indexed.groupBy(*KEY).agg(F.count("*").alias("n")).filter("n > 1")
-    members = stored(indexed.join(counts, KEY), "key-members")
+    members = stored(indexed.join(counts.hint("merge"), KEY), "key-members")
     few = _few(members.filter(F.col("n") <= pair_limit), distance)
     return few.unionByName(_many(members.filter(F.col("n") > pair_limit), distance))
 
@@ -172,11 +176,11 @@ def _grouped(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, D
     row = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "hash")
     classes = stored(marked.groupBy("bits").agg(F.min(row).alias("first")), "classes")
     roots = connected_components(links(classes.select("bits"), distance))
-    rooted = classes.join(roots, classes["bits"] == roots["node"], "left").select(
+    rooted = classes.join(roots.hint("merge"), classes["bits"] == roots["node"], "left").select(
         "bits", "first", F.coalesce("component", "bits").alias("root")
     )
     firsts = rooted.groupBy("root").agg(F.min("first").alias("first"))
-    return marked, rooted.select("bits", "root").join(firsts, "root")
+    return marked, rooted.select("bits", "root").join(firsts.hint("merge"), "root")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
@@ -207,7 +211,7 @@ def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFra
         content_hash(F.coalesce("text", F.lit(""))).alias("hash"),
         id_key(F.col("doc_id")).alias("key"),
     )
-    stay = rows.join(keepers, ["hash", "key"]).dropDuplicates(["hash", "key"])
+    stay = rows.join(keepers.hint("merge"), ["hash", "key"]).dropDuplicates(["hash", "key"])
     return stay.select("row.*")
 
 

@@ -18,9 +18,10 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallymonth.llm import bpe, class_lm, exact_dedup, language, mixing, queries, simhash
-from tallymonth.llm.common import in_fold, table
+from tallymonth.llm import bpe, class_lm, components, exact_dedup, language, mixing, queries, simhash
+from tallymonth.llm.common import in_fold, stored, table
 from tallymonth.llm.components import connected_components
+from tests.helpers import plan_of
 from tests.llm.cases import ROWS, documents, with_clashes
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -152,6 +153,44 @@ def test_components_of_a_long_path(spark) -> None:
     assert found == {i: 0 for i in range(201)} | {300: 300, 301: 300, 302: 300}
 
 
+@pytest.fixture
+def plans(monkeypatch) -> list[str]:
+    """The plans of all tables that the operators store."""
+    seen: list[str] = []
+
+    def noted(frame, purpose):
+        seen.append(plan_of(frame, "simple"))
+        return stored(frame, purpose)
+
+    for module in (components, exact_dedup, simhash):
+        monkeypatch.setattr(module, "stored", noted)
+    return seen
+
+
+@pytest.mark.parametrize("result", [exact_dedup.deduplicated, simhash.one_of_each])
+def test_what_grows_with_documents_is_not_broadcast(docs, plans, result) -> None:
+    plans.append(plan_of(result(stored(docs, "documents")), "simple"))
+    assert any("SortMergeJoin" in plan for plan in plans)
+    assert not any("Broadcast" in plan for plan in plans)
+
+
+def test_links_are_not_broadcast(spark, plans) -> None:
+    found = simhash.links(stored(spark.createDataFrame([(1 << i,) for i in range(40)], "bits long"), "classes"))
+    plans.append(plan_of(found, "simple"))
+    assert len({frozenset(pair) for pair in found.collect()}) == 40 * 39 / 2
+    assert sum("SortMergeJoin" in plan for plan in plans) == 2
+    assert not any("Broadcast" in plan for plan in plans)
+
+
+def test_edges_are_broadcast_by_their_number(spark, plans, monkeypatch) -> None:
+    edges = spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long")
+    for most, broadcast in ((components.FEW_EDGES, True), (19, False)):
+        monkeypatch.setattr(components, "FEW_EDGES", most)
+        plans.clear()
+        assert dict(connected_components(edges).collect()) == dict.fromkeys(range(21), 0)
+        assert any("Broadcast" in plan for plan in plans) == broadcast
+
+
 # BPE
 
 
