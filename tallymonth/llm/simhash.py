@@ -193,7 +193,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
     """
     marked, named = _grouped(docs, shingle, distance)
     named = named.select("bits", F.col("first.doc_id").alias("component_id"))
-    return marked.join(named, "bits").select("doc_id", "bits", "component_id")
+    return marked.join(named.hint("merge"), "bits").select("doc_id", "bits", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:

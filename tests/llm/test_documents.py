@@ -167,7 +167,9 @@ def plans(monkeypatch) -> list[str]:
     return seen
 
 
-@pytest.mark.parametrize("result", [exact_dedup.deduplicated, simhash.one_of_each])
+@pytest.mark.parametrize(
+    "result", [exact_dedup.deduplicated, simhash.one_of_each, simhash.near_duplicates]
+)
 def test_what_grows_with_documents_is_not_broadcast(docs, plans, result) -> None:
     plans.append(plan_of(result(stored(docs, "documents")), "simple"))
     assert any("SortMergeJoin" in plan for plan in plans)
